@@ -1,0 +1,5 @@
+"""Nothing here: the job is a daily batch.
+
+New files are found by comparing a listing with the ledger (``tillmart.operators.ledger``);
+no streaming query is part of it.
+"""
