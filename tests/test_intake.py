@@ -1,0 +1,163 @@
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import HEADER, tuples
+from pyspark.sql import functions as F
+
+from tillmart import schemas
+from tillmart.sources import empty_fact, file_inventory, header_columns, read_drops, validate_headers
+from tillmart.sources.headers import first_line
+
+ROW = "1,121,soap,2023-03-01,2,1.50,2,3.00"
+
+
+def inventory(spark, tmp_path):
+    return file_inventory(spark, str(tmp_path))
+
+
+def load(spark, tmp_path, **options):
+    files = inventory(spark, tmp_path).where("is_csv")
+    return read_drops(spark, validate_headers(spark, files), **options)
+
+
+def test_inventory_lists_all_files_with_sub_folders_and_empty_ones(spark, tmp_path, write_file):
+    write_file("a.csv", HEADER + "\n")
+    write_file("sub dir/b 1%.csv", "x")
+    write_file("zero.csv")
+    write_file("notes.txt", "hello")
+    write_file("A.CSV", HEADER)
+    rows = {r["file_name"]: r for r in inventory(spark, tmp_path).collect()}
+    assert set(rows) == {"a.csv", "b 1%.csv", "zero.csv", "notes.txt", "A.CSV"}
+    assert {n for n, r in rows.items() if r["is_csv"]} == {"a.csv", "b 1%.csv", "zero.csv"}
+    assert rows["zero.csv"]["length"] == 0 and rows["zero.csv"]["mtime"] is None
+    assert rows["b 1%.csv"]["path"] == f"file:{tmp_path}/sub dir/b 1%.csv"
+    assert rows["b 1%.csv"]["length"] == 1 and rows["b 1%.csv"]["mtime"] is not None
+
+
+@pytest.mark.parametrize("by_scan", [False, True])
+def test_header_verdicts(spark, tmp_path, write_file, by_scan):
+    write_file("good.csv", HEADER + "\n" + ROW)
+    write_file("blank lines first.csv", "\n  \r\n" + HEADER + "\r\n" + ROW + "\r\n")
+    write_file("header only.csv", HEADER)
+    write_file("extra+[1].csv", HEADER + ",colour,\"a, b\"\n")
+    write_file("incomplete.csv", HEADER.removesuffix(",total_cost") + "\n")
+    write_file("case.csv", HEADER.replace("customer_id", "Customer_ID") + "\n")
+    write_file("twice.csv", HEADER + ",total_cost\n")
+    write_file("zero.csv")
+    verdicts = validate_headers(spark, inventory(spark, tmp_path), by_scan=by_scan)
+    got = {r["file_name"]: (r["verdict"], r["missing"], r["extra"]) for r in verdicts.collect()}
+    assert got == {
+        "good.csv": ("ok", [], []),
+        "blank lines first.csv": ("ok", [], []),
+        "header only.csv": ("ok", [], []),
+        "extra+[1].csv": ("ok", [], ["colour", "a, b"]),
+        "incomplete.csv": ("rejected", ["total_cost"], []),
+        "case.csv": ("rejected", ["customer_id"], ["Customer_ID"]),
+        "twice.csv": ("rejected", ["total_cost"], ["total_cost7", "total_cost8"]),
+        "zero.csv": ("rejected", schemas.MANDATORY_COLUMNS, []),
+    }
+
+
+def test_the_head_is_enough_whatever_its_length(tmp_path, write_file):
+    long_name = "x" * 200_000
+    assert first_line(str(write_file("long.csv", long_name + "\nrest\n"))) == long_name
+    assert first_line(str(write_file("bom.csv", "﻿a,b\n1,2"))) == "a,b"
+    assert first_line(str(write_file("blank.csv", "\n \n"))) is None
+
+
+def test_header_of_a_file_that_spans_many_splits(spark, tmp_path, write_file):
+    write_file("big.csv", HEADER + "\n" + (ROW + "\n") * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        verdicts = validate_headers(spark, inventory(spark, tmp_path), by_scan=True)
+        assert tuples(verdicts, "verdict") == [("ok",)]
+        assert load(spark, tmp_path).count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_columns_of_one_file(spark, write_file):
+    assert header_columns(spark, str(write_file("a.csv", "b,,a\n"))) == ["b", "_c1", "a"]
+
+
+def test_empty_seed(spark):
+    assert empty_fact(spark).schema == schemas.FACT
+    assert empty_fact(spark).count() == 0
+
+
+def test_layouts_are_united_by_name(spark, tmp_path, write_file):
+    write_file("plain.csv", f"{HEADER}\n{ROW}\n")
+    write_file("extras.csv", f"colour,{HEADER},size\nred,{ROW},\n,{ROW},\nred,{ROW},XL\n")
+    names = HEADER.split(",")
+    write_file("reversed.csv", ",".join(reversed(names)) + "\n" + ",".join(reversed(ROW.split(","))) + "\n")
+    fact = load(spark, tmp_path)
+    assert fact.schema == schemas.FACT
+    sale = (1, 121, "soap", date(2023, 3, 1), 2, Decimal("1.50"), 2, Decimal("3.00"))
+    assert tuples(fact, *names) == [sale] * 5
+    assert tuples(fact, "additional_column") == [("",), ("red",), ("red, XL",), (None,), (None,)]
+
+
+def test_dotted_and_case_clashing_extra_names(spark, tmp_path, write_file):
+    write_file("odd.csv", f"{HEADER},a.b,Additional_Column\n{ROW},p,q\n")
+    assert tuples(load(spark, tmp_path), "additional_column") == [("p, q",)]
+
+
+def test_cells_that_do_not_parse_become_null_and_are_counted(spark, tmp_path, write_file):
+    write_file("a.csv", f"{HEADER}\n1,121,soap,2023-03-01,2,1,2,abc\n1,121,soap,someday,2,1,2.5,7\n{ROW}\n,,,,,,,\n")
+    fact = load(spark, tmp_path, count_bad=True)
+    assert tuples(fact, "total_cost", "bad_cells") == [
+        (Decimal("3.00"), 0), (Decimal("7.00"), 2), (None, 0), (None, 1)
+    ]
+    assert fact.count() == 4
+    assert "bad_cells" not in load(spark, tmp_path).columns
+
+
+def test_integer_and_decimal_files_give_one_decimal_column(spark, tmp_path, write_file):
+    write_file("ints.csv", f"{HEADER}\n1,121,soap,2023-03-01,2,1,2,3\n")
+    write_file("floats.csv", f"{HEADER}\n1.0,121,soap,2023-03-01 10:20:30,2.0,1.5,2.0,3.25\n")
+    fact = load(spark, tmp_path)
+    assert fact.schema == schemas.FACT
+    assert tuples(fact, "customer_id", "sales_date", "quantity", "total_cost") == [
+        (1, date(2023, 3, 1), 2, Decimal("3.00")), (1, date(2023, 3, 1), 2, Decimal("3.25"))
+    ]
+
+
+def test_short_and_long_rows(spark, tmp_path, write_file):
+    write_file("ragged.csv", f"{HEADER}\n1,121,soap\n{ROW},surplus\n")
+    assert tuples(load(spark, tmp_path), "customer_id", "total_cost") == [(1, Decimal("3.00")), (1, None)]
+
+
+def test_only_accepted_files_are_read(spark, tmp_path, write_file):
+    write_file("good.csv", f"{HEADER}\n{ROW}\n")
+    write_file("bad.csv", f"{HEADER.upper()}\n{ROW}\n")
+    write_file("zero.csv")
+    assert load(spark, tmp_path).count() == 1
+
+
+def test_one_scan_per_header(spark, tmp_path, write_file):
+    for i in range(6):
+        write_file(f"{i}.csv", f"{HEADER}{',x' if i % 2 else ''}\n{ROW}{',9' if i % 2 else ''}\n")
+    fact = load(spark, tmp_path)
+    assert fact.count() == 6
+    assert len([l for l in fact._jdf.queryExecution().analyzed().toString().splitlines() if "csv" in l]) == 2
+
+
+def test_an_unused_column_is_not_parsed(spark, tmp_path, write_file, capsys):
+    write_file("a.csv", f"{HEADER},note\n{ROW},x\n")
+    load(spark, tmp_path).select("store_id").explain()
+    assert "ReadSchema: struct<c1:string>" in capsys.readouterr().out
+
+
+def test_month_of_reads_dates_and_timestamps(spark):
+    from tillmart.functions import base_name, full_name, month_of
+
+    df = spark.createDataFrame(
+        [(date(2023, 3, 9), datetime(2023, 3, 9, 10), "a", None, "x/y/z.csv"), (None, None, "a", "b", "z.csv")],
+        "d date, t timestamp, f string, l string, p string",
+    )
+    got = df.select(
+        month_of("d").alias("d"), month_of("t").alias("t"), full_name("f", "l").alias("n"), base_name("p").alias("p")
+    )
+    assert tuples(got) == [("2023-03", "2023-03", None, "z.csv"), (None, None, "a b", "z.csv")]
+    assert got.where(F.col("p") != "z.csv").count() == 0

@@ -15,6 +15,7 @@ from tillmart.operators import (
     customer_month_mart,
     customer_table_rows,
     customer_wide,
+    dimension_fit,
     enrich_sales,
     in_flight_names,
     ledger_close,
@@ -50,13 +51,16 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+_fit = {}
+
+
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_sales(
-        retail_tables.fact(spark, sf_dir),
-        retail_tables.customer(spark, sf_dir),
-        retail_tables.store(spark, sf_dir),
-        retail_tables.sales_team(spark, sf_dir),
-    )
+    """The dimensions are measured once per session and data folder, as a run does."""
+    dimensions = [make(spark, sf_dir) for make in (retail_tables.customer, retail_tables.store, retail_tables.sales_team)]
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fit:
+        _fit[key] = dimension_fit(*dimensions)
+    return enrich_sales(retail_tables.fact(spark, sf_dir), *dimensions, fit=_fit[key])
 
 
 def enriched_sales(spark, sf_dir):

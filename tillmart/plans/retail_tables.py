@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 from tillmart.schemas import MANDATORY_COLUMNS, MONEY
 
 
+_tables = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _tables[key]
 
 
 def _names(column: str) -> list:
