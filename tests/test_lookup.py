@@ -3,8 +3,9 @@ import random
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from tillmart.operators import JoinBounds, enrich_sales, fits_broadcast, hot_keys, lookup_join
+from tillmart.operators import JoinBounds, enrich_sales, fits_broadcast, hot_keys, lookup_join, rows_without_dimension
 from tillmart.operators.enrich import dimension_fit
+from tillmart.workspace import shuffle_width
 
 
 def facts(spark, n=3000, seed=1, hot=0.34):
@@ -74,3 +75,20 @@ def test_enriching_does_not_depend_on_the_join_kind(spark, make_fact, customer,
     assert tuples(enrich_sales(fact, customer, store, sales_team, bounds=none_fit)) == tuples(
         enrich_sales(fact, customer, store, sales_team)
     )
+    assert tuples(rows_without_dimension(fact, customer, store, sales_team, bounds=none_fit)) == tuples(
+        rows_without_dimension(fact, customer, store, sales_team)
+    )
+
+
+def test_shuffle_width_grows_with_the_input_only(spark):
+    def width():
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    before = width()
+    with shuffle_width(spark, 10):
+        assert width() == before
+    with shuffle_width(spark, 10**12):
+        assert width() == 466
+    with shuffle_width(spark, 10**15):
+        assert width() == 50_000
+    assert width() == before

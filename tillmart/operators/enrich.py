@@ -67,21 +67,35 @@ def sales_wide(enriched: DataFrame) -> DataFrame:
     return enriched.select(*SALES_WIDE_COLUMNS, month_of("sales_date").alias("sales_month"))
 
 
-def rows_without_dimension(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
+def rows_without_dimension(
+    fact: DataFrame,
+    customer: DataFrame,
+    store: DataFrame,
+    sales_team: DataFrame,
+    *,
+    fit: dict[str, bool] | None = None,
+    bounds: JoinBounds = DEFAULT_BOUNDS,
+) -> DataFrame:
     """Sales the inner lookups leave out, one row per dimension: dimension, rows_lost.
 
-    Counted per key before the anti-join, so neither NULLs nor one bad id make a hot task.
+    Nothing is shuffled for a dimension that fits a broadcast. For a larger one rows are
+    counted per key before the anti-join, so neither NULLs nor one bad id make a hot task.
     """
+    fit = fit or dimension_fit(customer, store, sales_team, bounds)
     report = None
     for name, key, table, table_key in (
         ("customer", "customer_id", customer, "customer_id"),
         ("store", "store_id", store, "id"),
         ("sales_team", "sales_person_id", sales_team, "id"),
     ):
-        per_key = fact.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        sold = fact.select(F.col(key).alias("key"))
         known = table.select(F.col(table_key).alias("key"))
-        lost = per_key.join(known, "key", "left_anti").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_lost")
-        ).select(F.lit(name).alias("dimension"), "rows_lost")
+        if fit[name]:
+            unknown = sold.join(F.broadcast(known), "key", "left_anti").select(F.lit(1).alias("n"))
+        else:
+            per_key = sold.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+            unknown = per_key.join(known, "key", "left_anti")
+        lost = unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_lost"))
+        lost = lost.select(F.lit(name).alias("dimension"), "rows_lost")
         report = lost if report is None else report.unionAll(lost)
     return report

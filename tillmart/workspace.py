@@ -1,7 +1,9 @@
 """Intermediate tables in the folder that every executor can reach."""
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+_BYTES_PER_SHUFFLE_PARTITION = 2 * 1024**3
+_MOST_SHUFFLE_PARTITIONS = 50_000
+
+
+@contextmanager
+def shuffle_width(spark: SparkSession, input_bytes: int):
+    """Enough shuffle partitions for an input of this size, never fewer than configured.
+
+    Spark merges partitions at run time that turn out small, but does not add any.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    needed = min(math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION), _MOST_SHUFFLE_PARTITIONS)
+    spark.conf.set(name, str(max(int(configured), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
