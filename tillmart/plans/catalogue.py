@@ -191,7 +191,7 @@ def jdbc_roundtrip(spark, sf_dir):
 
 
 def daily_run(spark, sf_dir):
-    """The whole job on monthly drops; half the months are delivered in a bad form."""
+    """The whole job, on all sales as drops with three different headers."""
     url = _database(spark)
     sink = JdbcSink(url)
     sink.append(retail_tables.customer(spark, sf_dir), "customer")
@@ -199,7 +199,7 @@ def daily_run(spark, sf_dir):
     sink.append(retail_tables.sales_team(spark, sf_dir), "sales_team")
     folder = new_folder(spark, "daily")
     run(spark, DailyConfig(
-        source_dir=deliveries.monthly_drops(spark, sf_dir),
+        source_dir=deliveries.drifting_drops(spark, sf_dir),
         output_dir=f"{folder}/marts",
         ledger_dir=f"{folder}/ledger",
         jdbc_url=url,

@@ -166,5 +166,5 @@ select * replace (sales_date_month || '-01' as sales_date_month) from ({_CUSTOME
 with {_TOTALS}
 select store_id, sales_person_id, full_name, sales_month,
        cast(total_sales as double) as total_sales, {_INCENTIVE}
-from ranked where cast(right(sales_month, 2) as integer) % 6 in (0, 1, 2)""",
+from ranked""",
 }

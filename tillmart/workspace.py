@@ -27,14 +27,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tillmart/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, within: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and go on from the written table.
 
     Later steps then read columns they need instead of repeating the work above, and a
     lost executor costs a re-read, not a re-run.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, label)
+    folder = f"{within}/{label}" if within else new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
