@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillmart.operators import (
+    JoinBounds,
     customer_month_mart,
     customer_table_rows,
     customer_wide,
@@ -17,6 +18,7 @@ from tillmart.operators import (
     salesperson_month_mart,
     salesperson_month_total,
     salesperson_rank,
+    store_months_fit,
 )
 from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, ENRICHED_COLUMNS, SALES_WIDE_COLUMNS
 
@@ -202,3 +204,12 @@ def test_rows_are_combined_before_the_shuffle_and_maxima_reuse_it(make_fact, cus
     assert "partial_sum" in plan and "partial_max" in plan
     assert "ReusedExchange" in plan
     assert "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_maxima_known_to_be_small_are_broadcast_at_once(make_fact, customer, store, sales_team):
+    wide = sales_wide(enriched(make_fact, (customer, store, sales_team), random_sales(200, 7)))
+    assert store_months_fit(wide) and not store_months_fit(wide, JoinBounds(broadcast_bytes=0))
+    mart = salesperson_month_mart(wide, small_maxima=True)
+    assert tuples(mart) == tuples(salesperson_month_mart(wide))
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("Initial Plan")[-1]

@@ -19,6 +19,7 @@ from tillmart.operators.marts import (
     salesperson_month_mart,
     salesperson_month_total,
     salesperson_rank,
+    store_months_fit,
 )
 
 __all__ = [
@@ -27,5 +28,5 @@ __all__ = [
     "in_flight_names", "ledger_close", "ledger_in_flight", "ledger_open", "ledger_reject",
     "ledger_state", "lookup_join", "pending_files", "read_ledger", "rows_without_dimension",
     "sales_team_table_rows", "sales_wide", "salesperson_month_mart", "salesperson_month_total",
-    "salesperson_rank",
+    "salesperson_rank", "store_months_fit",
 ]
