@@ -67,6 +67,17 @@ def enriched_sales(spark, sf_dir):
     return _plain(_enriched(spark, sf_dir))
 
 
+def enriched_sales_shuffled(spark, sf_dir):
+    """The same with every dimension treated as too large to broadcast."""
+    return _plain(enrich_sales(
+        retail_tables.fact(spark, sf_dir),
+        retail_tables.customer(spark, sf_dir),
+        retail_tables.store(spark, sf_dir),
+        retail_tables.sales_team(spark, sf_dir),
+        fit={"customer": False, "store": False, "sales_team": False},
+    ))
+
+
 def customer_wide_mart(spark, sf_dir):
     return _plain(customer_wide(_enriched(spark, sf_dir)))
 
@@ -214,6 +225,7 @@ QUERIES = {
     "salesperson_month_total": month_total,
     "salesperson_rank": month_rank,
     "enriched_sales": enriched_sales,
+    "enriched_sales_shuffled": enriched_sales_shuffled,
     "customer_wide": customer_wide_mart,
     "sales_wide": sales_wide_mart,
     "drift_packed_union": drift_packed_union,

@@ -35,6 +35,13 @@ enriched as (
   join nation on s_nationkey = n_nationkey
 )"""
 
+_ENRICHED_SALES = f"""
+with {_ENRICHED}
+select * exclude (sales_month, total_cost, sales_date, joining_date),
+       cast(total_cost as double) as total_cost, cast(sales_date as varchar) as sales_date,
+       cast(joining_date as varchar) as joining_date
+from enriched"""
+
 _TOTALS = _ENRICHED + """,
 totals as (
   select store_id, sales_person_id,
@@ -92,12 +99,8 @@ from totals""",
 with {_TOTALS}
 select store_id, sales_person_id, full_name, sales_month, cast(total_sales as double) as total_sales, rnk
 from ranked""",
-    "enriched_sales": f"""
-with {_ENRICHED}
-select * exclude (sales_month, total_cost, sales_date, joining_date),
-       cast(total_cost as double) as total_cost, cast(sales_date as varchar) as sales_date,
-       cast(joining_date as varchar) as joining_date
-from enriched""",
+    "enriched_sales": _ENRICHED_SALES,
+    "enriched_sales_shuffled": _ENRICHED_SALES,
     "customer_wide": f"""
 with {_ENRICHED}
 select customer_id, first_name, last_name, address, pincode, phone_number,

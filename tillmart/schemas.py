@@ -74,6 +74,7 @@ LEDGER = _struct(
     status=T.StringType(),
 )
 
+# The columns of the enriched fact and of the two wide marts.
 ENRICHED_COLUMNS = [
     "store_id", "sales_date", "sales_person_id", "total_cost",
     "customer_id", "first_name", "last_name", "address", "pincode", "phone_number",
