@@ -28,6 +28,8 @@ from tillmart.operators import (
     salesperson_month_total,
     salesperson_rank,
 )
+from tillmart.operators.lookup import DEFAULT_BOUNDS
+from tillmart.operators.marts import BYTES_PER_STORE_MONTH
 from tillmart.plans import deliveries, retail_tables
 from tillmart.plans.daily import DailyConfig, run
 from tillmart.sinks import JdbcSink, snapshot_path, write_parquet
@@ -98,8 +100,22 @@ def month_rank(spark, sf_dir):
     return _plain(salesperson_rank(salesperson_month_total(sales_wide(_enriched(spark, sf_dir)))))
 
 
+_few_store_months = {}
+
+
+def _store_months_are_few(spark: SparkSession, sf_dir: str) -> bool:
+    """No more maxima than stores times months of orders; counted once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _few_store_months:
+        months = retail_tables.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM")).distinct().count()
+        stores = retail_tables.store(spark, sf_dir).count()
+        _few_store_months[key] = stores * months * BYTES_PER_STORE_MONTH <= DEFAULT_BOUNDS.broadcast_bytes
+    return _few_store_months[key]
+
+
 def salesperson_month(spark, sf_dir):
-    return _plain(salesperson_month_mart(sales_wide(_enriched(spark, sf_dir))))
+    wide = sales_wide(_enriched(spark, sf_dir))
+    return _plain(salesperson_month_mart(wide, small_maxima=_store_months_are_few(spark, sf_dir)))
 
 
 def drift_packed_union(spark, sf_dir):
