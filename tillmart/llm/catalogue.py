@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillmart.llm import binary_output, packing
+from tillmart.llm import binary_output, decontamination, near_duplicates, packing
 from tillmart.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -13,6 +13,12 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark, sf_dir):
+    """All documents against all passages of the benchmark."""
+    found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.judge_passages(found)
+
+
 def op3_token_shards(spark, sf_dir):
     """All documents encoded, written as indexed shards and read back."""
     folder = new_folder(spark, "token-shards")
@@ -20,6 +26,11 @@ def op3_token_shards(spark, sf_dir):
     return binary_output.read_digests(spark, folder)
 
 
+def op9_simhash(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return near_duplicates.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark, sf_dir):
     """All documents in sequences of at most 2048 tokens."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
@@ -29,7 +40,9 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_token_shards": op3_token_shards,
+    "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 ORACLE = {}
