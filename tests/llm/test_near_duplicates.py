@@ -93,7 +93,7 @@ def test_dense_and_chained_fingerprints(spark, bucket_rows):
 
 
 def test_spanning_links():
-    fps = np.array([0, 1, 3, 7, 15, 31, 1 << 40, (1 << 40) + 1], np.uint64)
+    fps = np.array([0, 1, 3, 7, 15, 31, 3 << 40, (3 << 40) + 1], np.uint64)
     a, b = spanning_links(fps, 1)
     assert len(a) == 6 and (np.bitwise_count(a ^ b) == 1).all()
 

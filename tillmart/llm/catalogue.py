@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillmart.llm import binary_output, decontamination, near_duplicates, packing
+from tillmart.llm import binary_output, decontamination, language_id, near_duplicates, packing
 from tillmart.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,11 @@ def op3_token_shards(spark, sf_dir):
     return binary_output.read_digests(spark, folder)
 
 
+def op8_language(spark, sf_dir):
+    """The language of all documents."""
+    return language_id.predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return near_duplicates.simhash_components(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_token_shards": op3_token_shards,
+    "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }

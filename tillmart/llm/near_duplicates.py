@@ -65,7 +65,7 @@ def _probes(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
     )).alias("s")).select("fp", (F.col("s.side") * F.lit(1 << 32) + F.col("s.value")).alias("bucket"))
     bits = F.array(*[F.lit(1 << b) for b in range(32)])
     unset = F.filter(bits, lambda b: F.col("bucket").bitwiseAND(b) == 0)
-    guests = segments.select("fp", F.explode(unset).alias("bit")).select("fp", (F.col("bucket") + F.col("bit")).alias("bucket"))
+    guests = segments.select("fp", "bucket", F.explode(unset).alias("bit")).select("fp", (F.col("bucket") + F.col("bit")).alias("bucket"))
     return segments, guests
 
 
