@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillmart.llm import binary_output, decontamination, language_id, near_duplicates, packing
+from tillmart.llm import binary_output, decontamination, host_trust, language_id, licenses, near_duplicates, packing
 from tillmart.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,16 @@ def op3_token_shards(spark, sf_dir):
     return binary_output.read_digests(spark, folder)
 
 
+def op4_url_trust(spark, sf_dir):
+    """All pages judged by rules and by what reaches their hosts."""
+    return host_trust.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_licenses(spark, sf_dir):
+    """Licences of all documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("expressions")
+
+
 def op8_language(spark, sf_dir):
     """The language of all documents."""
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
@@ -47,6 +57,8 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_token_shards": op3_token_shards,
+    "op4_url_trust": op4_url_trust,
+    "op5_licenses": op5_licenses,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,

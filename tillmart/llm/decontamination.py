@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import bounded, text_buffers
+from tillmart.llm.words import LETTERS_AND_DIGITS
 from tillmart.workspace import stage
 
 WINDOW = 13
@@ -22,9 +23,6 @@ SLOP = 2
 TEST_BYTES = 32 * 1024 * 1024
 SHARD_BYTES = 16 * 1024 * 1024
 _CANDIDATES = 2_000_000
-_WORD = np.frombuffer(bytes(
-    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
-), np.uint8).tobytes()
 
 #: words: distinct test words; windows: their numbers, -1 after the end of a short phrase; items: of each window
 TestSet = namedtuple("TestSet", "words windows items window slop")
@@ -32,7 +30,7 @@ TestSet = namedtuple("TestSet", "words windows items window slop")
 
 def words_of(text: str | None) -> list[str]:
     """Maximal runs of ASCII letters and digits and of whatever lies beyond ASCII; A-Z lower-cased."""
-    return (text or "").encode().translate(_WORD).decode().split(" ") if text else []
+    return (text or "").encode().translate(LETTERS_AND_DIGITS).decode().split(" ") if text else []
 
 
 def test_set(rows, window: int = WINDOW, slop: int = SLOP) -> TestSet:
@@ -57,7 +55,7 @@ def _index(test):
         known, gap = pa.array(test.value.words, pa.large_string()), _gap(test.value)
         for batch in bounded(batches, "text", SHARD_BYTES):
             offsets, data = text_buffers(batch.column("text"))
-            lowered = pa.py_buffer(data.to_pybytes().translate(_WORD))
+            lowered = pa.py_buffer(data.to_pybytes().translate(LETTERS_AND_DIGITS))
             texts = pa.Array.from_buffers(pa.large_string(), batch.num_rows, [None, pa.py_buffer(np.ascontiguousarray(offsets)), lowered])
             split = pc.split_pattern(texts, " ")
             bounds = split.offsets.to_numpy().astype(np.int64)
