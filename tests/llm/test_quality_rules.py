@@ -1,0 +1,118 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillmart.llm.quality_rules import RULES, binomial_at_most, certify, judge_quality, measure
+
+SPLIT = re.compile("[\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = [x for x in SPLIT.split(text) if x]
+    windows = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if windows[tuple(w[i:i + 3])] > 1 for j in range(i, i + 3)}
+    lines = [x for x in text.split("\n") if SPLIT.sub("", x)]
+    seen, dup = set(), 0
+    for x in lines:
+        dup += x in seen
+        seen.add(x)
+    return {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
+            "n_lines": len(lines), "n_dup_lines": dup, "n_repeat_words": len(covered)}
+
+
+def texts():
+    rng = random.Random(6)
+    out = [None, "", " \n \n", "a b c a b c", "a b a b a b", "a a a a", "x\n x\nx\n\nx\r\nx\r", "é ü 😀 #|<>\x0b$%&*", "a b", "a b c",
+           "one two three\n" * 5000, " ".join(f"w{i}" for i in range(20000)) + " w0 w1 w2"]
+    out += [" ".join(rng.choices("abcdefgh", k=rng.randint(1, 80))) + "\n" + "\n".join(rng.choices(["l 1", "l 2", "  "], k=4)) for _ in range(40)]
+    return out
+
+
+def test_measures_against_brute_force(spark):
+    rows = list(enumerate(texts()))
+    got = {r["doc_id"]: r.asDict() for r in measure(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    for i, text in rows:
+        assert {"doc_id": i, **brute(text)} == got[i], repr((text or "")[:60])
+
+
+def at_most(k, n, p):
+    return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)) for j in range(k + 1))
+
+
+def test_binomial(spark):
+    cases = [(k, n) for n in (1, 10, 300, 5000, 1_000_000) for k in (0, 1, 5, 20, 4900) if k <= n]
+    df = spark.createDataFrame(cases, "k long, n long")
+    for terms in (10_000, 3):
+        for r in df.select("k", "n", binomial_at_most(F.col("k"), F.col("n"), 0.005, terms).alias("p")).collect():
+            want = at_most(r["k"], r["n"], 0.005) if r["k"] < r["n"] * 0.005 else 1.0
+            assert r["p"] >= want * (1 - 1e-9)
+            if terms == 10_000:
+                assert r["p"] == pytest.approx(want, rel=1e-7)
+
+
+def certified(rows, risk=0.02, lost=0.05):
+    strata = {}
+    for r in rows:
+        strata.setdefault(r["stratum"], []).append(r)
+    out = {}
+    for s, good in strata.items():
+        out[s] = {}
+        for rule, (num, den, cutoffs) in RULES.items():
+            best = None
+            for c in cutoffs:
+                k = sum(1000 * r[num] > c * r[den] for r in good)
+                p, n = risk / len(RULES), len(good)
+                if k >= n * p or at_most(k, n, p) > lost / (len(strata) * len(RULES)):
+                    break
+                best = c
+            out[s][rule] = best
+    return out
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        junk = i % 5 == 0
+        rows.append((i, " ".join("".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) + ("%%%" if junk else "#" if rng.random() < 0.001 else "") for _ in range(60)), "aa" if i % 3 else "bb", 0))
+    rows += [(5000, "short", "aa", 0), (5001, None, None, 0), (None, "x " * 100, "cc", 0), (1, rows[1][1], "aa", 0)]
+    labels = [(i, 0 if i % 5 == 0 else 1, 0) for i in range(3000)] + [(7, 0, 1), (9999, 1, 0), (None, 1, 0)]
+    return rows, labels
+
+
+def test_cutoffs_and_verdicts_against_brute_force(spark, labelled):
+    rows, labels = labelled
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words long")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    quality = {}
+    for i, q, _ in labels:
+        quality[i] = min(q, quality.get(i, 1))
+    good = [{"stratum": lang or "", **brute(t)} for i, t, lang, _ in rows if i is not None and quality.get(i) == 1]
+    cuts = certified(good)
+    want = []
+    for i, t, lang, _ in rows:
+        m = brute(t)
+        base = m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]
+        failed = [r for r, (num, den, _) in RULES.items() if (c := cuts.get(lang or "", {}).get(r)) is not None and 1000 * m[num] > c * m[den]]
+        want.append((i, *[m[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], base, not base and not failed, ",".join(failed)))
+    got = [tuple(r) for r in judge_quality(docs, table).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert cuts["aa"]["symbols"] is not None and sum(not w[-2] for w in want) > 350
+    assert sum(not w[-2] for w in want if quality.get(w[0]) == 1 and w[1] >= 50) < 0.03 * 2400
+
+
+def test_few_labels_certify_nothing(spark):
+    good = spark.createDataFrame([("s", 60, 300, 0, 1, 0, 0)] * 20, "stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    assert certify(good).collect()[0].asDict() == {"stratum": "s", **{f"cut_{r}": None for r in RULES}}
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert judge_quality(docs, labels).collect() == []

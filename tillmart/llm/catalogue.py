@@ -3,7 +3,17 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillmart.llm import binary_output, decontamination, host_trust, language_id, licenses, near_duplicates, packing
+from tillmart.llm import (
+    binary_output,
+    decontamination,
+    host_trust,
+    language_id,
+    licenses,
+    near_duplicates,
+    packing,
+    preferences,
+    quality_rules,
+)
 from tillmart.workspace import new_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +46,21 @@ def op5_licenses(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("expressions")
 
 
+def op6_quality_rules(spark, sf_dir):
+    """All documents by rules whose cutoffs the labels certify."""
+    return quality_rules.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_preferences(spark, sf_dir):
+    """All conversations, each preferred to itself with the last reply cut short."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = turns.select("conv_id").distinct().select(
+        F.col("conv_id").alias("pair_id"), F.col("conv_id").alias("chosen_id"), (-1 - F.col("conv_id")).alias("rejected_id"))
+    formatted = preferences.format_preferences(turns.unionByName(preferences.cut_short(turns)), pairs)
+    listed = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return formatted.select("pair_id", "piece", "n_prompt", "prompt", "chosen", listed("chosen_mask"), "rejected", listed("rejected_mask"))
+
+
 def op8_language(spark, sf_dir):
     """The language of all documents."""
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
@@ -59,6 +84,8 @@ QUERIES = {
     "op3_token_shards": op3_token_shards,
     "op4_url_trust": op4_url_trust,
     "op5_licenses": op5_licenses,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_preferences": op7_preferences,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
