@@ -12,6 +12,7 @@ from tillmart.llm import (
     near_duplicates,
     packing,
     preferences,
+    quality_classifier,
     quality_rules,
 )
 from tillmart.workspace import new_folder
@@ -23,6 +24,11 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark, sf_dir):
+    """The quality of all documents, from their text and their site."""
+    return quality_classifier.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark, sf_dir):
     """All documents against all passages of the benchmark."""
     found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -80,6 +86,7 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_token_shards": op3_token_shards,
     "op4_url_trust": op4_url_trust,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import bounded, text_buffers
+from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.llm.words import LETTERS_AND_DIGITS
 from tillmart.workspace import stage
 
@@ -233,3 +234,17 @@ def judge_passages(found: DataFrame, share: int = 20) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "n_near",
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, share: int = 20, broadcast_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    The verdict depends on the text alone, so texts are named by their digests.
+    """
+    inner, names = numbered_columns(docs)
+    text = F.col(names["text"]).cast("string")
+    found = find_passages(inner.select(F.md5(text).alias("doc_id"), text.alias("text")), items)
+    bad = stage(judge_passages(found, share).where("contaminated").select(F.col("doc_id").alias("digest")).distinct(), "contaminated")
+    bad = F.broadcast(bad) if bad.count() * 64 <= broadcast_bytes else bad
+    clean = inner.withColumn("digest", F.md5(text)).join(bad, "digest", "left_anti")
+    return named_columns(clean, names)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.frames import named_columns, numbered_columns
 
 SAMPLE_CHARS = 60_000
 SAMPLE_DOCUMENT_CHARS = 3_000
@@ -125,7 +126,7 @@ def _letters() -> np.ndarray:
 _kept = {}
 
 
-def _predict(model):
+def _predict(model, keep_text):
     def predict(batches):
         if "letters" not in _kept:
             _kept["letters"] = _letters()
@@ -150,7 +151,8 @@ def _predict(model):
                 second = rest.min(1) if need.shape[1] > 1 else np.full(len(need), np.iinfo(np.int64).max)
                 score[known] = 1 - least / (least + second.astype(float))
             columns = dict(zip(batch.schema.names, batch.columns))
-            del columns["text"]
+            if not keep_text:
+                del columns["text"]
             columns["lang_pred"], columns["score"] = pa.array(names[best], pa.string()), pa.array(score)
             yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
     return predict
@@ -178,8 +180,8 @@ def training_sample(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, docum
     return out
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without its text, with ``lang_pred`` and ``score``.
+def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, without its text unless it is to be kept.
 
     score: second-best phrases over those of the two best, from 0.5 (a tie, taken by the first
     name) to 1. A null text or one without a letter is ``und`` with score 0, as is every text if
@@ -187,8 +189,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(_predict(shared), f"{kinds}{', ' if kinds else ''}lang_pred string, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != "text")
+    return docs.mapInArrow(_predict(shared, keep_text), f"{kinds}{', ' if kinds else ''}lang_pred string, score double")
 
 
 def fold(doc_id="doc_id"):
@@ -210,3 +212,15 @@ def predict_languages(docs: DataFrame, model: Model | None = None, sample_chars:
     model = model or learn(docs, sample_chars)
     rows = docs.select("doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "text")
     return identify(rows, model)
+
+
+def keep_identified(docs: DataFrame, model: Model | None = None, accepted: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is known and, if languages are given, one of them."""
+    model = model or learn(docs)
+    inner, names = numbered_columns(docs)
+    text = names["text"]
+    judged = identify(inner.withColumnRenamed(text, "text"), model, keep_text=True).withColumnRenamed("text", text)
+    wanted = F.col("lang_pred") != UNKNOWN
+    if accepted is not None:
+        wanted &= F.col("lang_pred").isin(accepted)
+    return named_columns(judged.where(wanted), names)

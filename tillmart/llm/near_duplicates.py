@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.workspace import stage
 
 DISTANCE = 3
@@ -213,13 +214,12 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKE
 
     The rows are written once with a number each, which names the rows kept.
     """
-    names = docs.columns
-    rows = stage(docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).withColumn(
-        "row", F.monotonically_increasing_id()), "numbered-rows")
-    at = {c: f"c{i}" for i, c in enumerate(names)}
-    prints = stage(fingerprints(rows.select("row", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")), ["row", "doc_id"]), "fingerprints")
+    inner, at = numbered_columns(docs)
+    rows = stage(inner.withColumn("row", F.monotonically_increasing_id()), "numbered-rows")
+    ids = rows.select("row", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"))
+    prints = stage(fingerprints(ids, ["row", "doc_id"]), "fingerprints")
     groups = near_duplicate_groups(prints, distance, bucket_rows)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     best = prints.groupBy("fp").agg(F.min(order).alias("o")).join(groups, "fp").groupBy("root").agg(F.min("o").alias("o"))
     kept = stage(best.select(F.col("o.row").alias("row")), "kept-rows")
-    return rows.join(kept, "row", "left_semi").select([F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return named_columns(rows.join(kept, "row", "left_semi"), at)
