@@ -2,10 +2,13 @@
 
 For each language a suffix automaton of labelled text accepts every substring of it. A document
 is cut from left to right into the longest phrases that the automaton accepts; a character it
-lacks is a phrase of its own. Phrases per character estimate the cross entropy.
+lacks is a phrase of its own. Phrases per character estimate the cross entropy. Letters count
+without case, and whatever lies between words as one blank.
 """
 
+import unicodedata
 from collections import Counter, namedtuple
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,9 @@ ALPHABET = 60
 BLOCK_CHARS = 1024
 UNKNOWN = "und"
 
-#: languages: names; classes: of each code point (0: any other); next: (language, state, class) -> state or -1
+_OTHER, _BLANK = 0, 1
+
+#: languages: names; classes: of each code point (a blank if it belongs to no word, else _OTHER if too rare); next: (language, state, class) -> state or -1
 Model = namedtuple("Model", "languages classes next")
 
 
@@ -62,30 +67,40 @@ def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
 
 def train(texts: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS, alphabet: int = ALPHABET) -> Model:
     """From some labelled texts per language; the first ``sample_chars`` characters of each are used."""
-    joined = {lang: "\n".join(parts)[:sample_chars].lower() for lang, parts in sorted(texts.items())}
-    often = Counter()
-    for text in joined.values():
-        often.update(text)
-    letters = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:alphabet - 1]]
-    number = {c: i + 1 for i, c in enumerate(letters)}
-    classes = np.zeros(0x110000, np.uint8)
-    for c, i in number.items():
-        classes[ord(c)] = i
-        for form in {c.upper(), c.title()}:
+    texts = {lang: "\n".join(parts)[:sample_chars].lower() for lang, parts in sorted(texts.items())}
+    of_words = letters() | _marks()
+    often = Counter(c for text in texts.values() for c in text if of_words[ord(c)])
+    chosen = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:alphabet - 2]]
+    classes = np.where(of_words, _OTHER, _BLANK).astype(np.uint8)
+    for i, c in enumerate(chosen, 2):
+        for form in {c, c.upper(), c.title()}:
             if len(form) == 1:
                 classes[ord(form)] = i
-    tables = [suffix_automaton([number.get(c, 0) for c in text], alphabet) for text in joined.values()]
+    joined = {lang: _classes_of([text], classes)[0].tolist() for lang, text in texts.items()}
+    tables = [suffix_automaton(codes, alphabet) for codes in joined.values()]
     states = max((len(t) for t in tables), default=1)
     return Model([*joined], classes, np.stack([
         np.concatenate([t, np.full((states - len(t), alphabet), -1, np.int32)]) for t in tables
     ]) if tables else np.zeros((0, 1, alphabet), np.int32))
 
 
+def _classes_of(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all texts one after the other, runs of blanks as one, and each text's length in them."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    codes = classes[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
+    keep = codes != _BLANK
+    keep[1:] |= keep[:-1]
+    begins = (np.cumsum(lengths) - lengths)[lengths > 0]
+    keep[begins] = True
+    count = np.concatenate([[0], np.cumsum(keep)])
+    ends = np.cumsum(lengths)
+    return codes[keep], count[ends] - count[ends - lengths]
+
+
 def phrases(texts: list[str], model: Model, block: int = BLOCK_CHARS) -> np.ndarray:
     """(text, language): how many phrases each text takes. Every ``block`` characters a new phrase
     begins, so that the blocks of all texts are parsed side by side."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    codes = model.classes[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
+    codes, lengths = _classes_of(texts, model.classes)
     counts = -(-lengths // block)
     owner = np.repeat(np.arange(len(texts)), counts)
     inside = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * block
@@ -118,25 +133,27 @@ def phrases(texts: list[str], model: Model, block: int = BLOCK_CHARS) -> np.ndar
     return out.T
 
 
-def _letters() -> np.ndarray:
+@cache
+def letters() -> np.ndarray:
     """Of each code point: is it a letter?"""
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-_kept = {}
+@cache
+def _marks() -> np.ndarray:
+    """Of each code point: does it modify a letter, as a vowel sign does?"""
+    return np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)])
 
 
 def _predict(model, keep_text):
     def predict(batches):
-        if "letters" not in _kept:
-            _kept["letters"] = _letters()
-        letters, m = _kept["letters"], model.value
+        is_letter, m = letters(), model.value
         names = np.array([*m.languages, UNKNOWN], object)
         for batch in bounded(batches, "text", 4 * 1024 * 1024):
             texts = plain_text(batch.column("text")).to_pylist()
             lengths = np.array([len(t) for t in texts])
             points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
-            seen = np.concatenate([[0], np.cumsum(letters[points])])
+            seen = np.concatenate([[0], np.cumsum(is_letter[points])])
             ends = np.cumsum(lengths)
             known = (seen[ends] > seen[ends - lengths]) & (len(m.languages) > 0)
             best, score = np.full(len(texts), len(m.languages)), np.zeros(len(texts))
