@@ -24,10 +24,11 @@ def test_fits_broadcast_measures_rows(spark):
 
 
 def test_hot_keys_are_found_with_their_share(spark):
-    found = {r["k"]: r["__copies"] for r in hot_keys(facts(spark), "k").collect()}
-    assert set(found) == {7} and found[7] >= 2
-    assert hot_keys(facts(spark, hot=0), "k") is None
-    assert hot_keys(facts(spark, n=0), "k") is None
+    fact = facts(spark).withColumn("j", F.lit(5))
+    found = {(r["column"], r["key"]): r["copies"] for r in hot_keys(fact, ["k", "j"]).collect()}
+    assert found == {("k", "7"): 2, ("j", "5"): 4}
+    assert hot_keys(facts(spark, hot=0), ["k"]).collect() == []
+    assert hot_keys(facts(spark, n=0), ["k"]).collect() == []
 
 
 def test_shuffled_salted_and_broadcast_joins_agree(spark):
@@ -35,7 +36,7 @@ def test_shuffled_salted_and_broadcast_joins_agree(spark):
     table = spark.range(0, 150).select(F.col("id").cast("bigint").alias("id"), (F.col("id") * 2).alias("w"))
     expected = tuples(fact.join(table, fact["k"] == table["id"]).select("k", "v", "w"))
     for small in (True, False):
-        joined = lookup_join(fact, table, "k", "id", small=small)
+        joined = lookup_join(fact, table, "k", "id", small=small, hot=hot_keys(fact, ["k"]))
         assert joined.columns == ["k", "v", "w"]
         assert tuples(joined) == expected
     cold = facts(spark, hot=0)
@@ -51,7 +52,7 @@ def test_hot_rows_are_spread_over_partitions(spark):
     try:
         fact = facts(spark, n=6000)
         table = spark.range(0, 300).select("id", (F.col("id") * 2).alias("w"))
-        joined = lookup_join(fact, table, "k", "id", small=False)
+        joined = lookup_join(fact, table, "k", "id", small=False, hot=hot_keys(fact, ["k"]))
         per_task = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count()
         counts = [r["count"] for r in per_task.collect()]
         assert len(counts) >= 3 and max(counts) < sum(counts) * 0.7
@@ -88,7 +89,20 @@ def test_shuffle_width_grows_with_the_input_only(spark):
     with shuffle_width(spark, 10):
         assert width() == before
     with shuffle_width(spark, 10**12):
-        assert width() == 466
+        assert width() == 3726
     with shuffle_width(spark, 10**15):
-        assert width() == 50_000
+        assert width() == 3_725_291
     assert width() == before
+
+
+def test_what_does_not_fit_is_shuffled_and_salted(spark, make_fact, customer, store, sales_team):
+    fact = make_fact([(1, 121, "2023-01-05", 1, f"{i}.00") for i in range(60)] + [(None, 122, None, 2, "1.00"), (9, 122, None, 2, "1.00")])
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    joined = enrich_sales(fact, customer, store, sales_team, fit={"customer": False, "store": False, "sales_team": False})
+    built = len(jobs.getJobIdsForGroup("building"))
+    spark.sparkContext.setJobGroup("running", "")
+    assert joined.count() == 60 and built <= 6
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 3 and "__salt" in plan

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions import month_of
-from tillmart.operators.lookup import DEFAULT_BOUNDS, JoinBounds, fits_broadcast, lookup_join
+from tillmart.operators.lookup import DEFAULT_BOUNDS, JoinBounds, fits_broadcast, hot_keys, lookup_join
 from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, ENRICHED_COLUMNS, SALES_WIDE_COLUMNS
 
 
@@ -50,12 +50,20 @@ def enrich_sales(
 
     Pass ``fit`` (see ``dimension_fit``) to reuse a measurement. The customer, the one table
     that can outgrow a broadcast, comes first: its shuffle then carries five columns only.
+    Hot keys of all tables that do not fit are counted in one job, on ``fact`` itself; pass a
+    fact that is written.
     """
     fit = fit or dimension_fit(customer, store, sales_team, bounds)
-    sales = fact.drop("product_name", "price", "quantity", "additional_column")
-    joined = lookup_join(sales, customer_side(customer), "customer_id", "customer_id", small=fit["customer"])
-    joined = lookup_join(joined, store_side(store), "store_id", "id", small=fit["store"])
-    joined = lookup_join(joined, sales_team_side(sales_team), "sales_person_id", "id", small=fit["sales_team"])
+    joined = fact.drop("product_name", "price", "quantity", "additional_column")
+    lookups = [
+        ("customer", customer_side(customer), "customer_id", "customer_id"),
+        ("store", store_side(store), "store_id", "id"),
+        ("sales_team", sales_team_side(sales_team), "sales_person_id", "id"),
+    ]
+    shuffled = [key for name, _, key, _ in lookups if not fit[name]]
+    hot = hot_keys(joined, shuffled) if shuffled else None
+    for name, side, key, table_key in lookups:
+        joined = lookup_join(joined, side, key, table_key, small=fit[name], hot=hot)
     return joined.select(*ENRICHED_COLUMNS)
 
 

@@ -1,12 +1,13 @@
 """Joins of a large fact with a keyed table whose size is not known beforehand."""
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.workspace import stage
+
 
 @dataclass(frozen=True)
 class JoinBounds:
@@ -48,55 +49,46 @@ def _shuffle_width(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_keys(fact: DataFrame, key: str) -> DataFrame | None:
-    """Keys that hold more than a shuffle partition's worth of rows, with a copy count.
+def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Values of ``keys`` that hold more than a shuffle partition's worth of rows: column, key, copies.
 
-    One scan of the key column into a frequent-items sketch of bounded size. The sketch only
-    chooses which keys get salted; the join result does not depend on it.
+    One job counts all the columns together, with partial sums before its shuffle, and writes the
+    result. A column has fewer such values than there are shuffle partitions.
     """
     width = _shuffle_width(fact)
-    share = min(0.1, max(1e-4, 1 / width))
-    at_most = math.ceil(2 / share)
-    tracked = math.ceil(40 / share)
-    found = fact.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {at_most}, {tracked})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    hot = [
-        (item["item"], max(2, math.ceil(item["count"] / found["rows"] * width)))
-        for item in found["top"]
-        if item["count"] > share * found["rows"]
-    ]
-    if not hot:
-        return None
-    schema = T.StructType([
-        T.StructField(key, fact.schema[key].dataType),
-        T.StructField("__copies", T.IntegerType()),
-    ])
-    return fact.sparkSession.createDataFrame(hot, schema)
-
-
-def lookup_join(fact: DataFrame, table: DataFrame, key: str, table_key: str, *, small: bool) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).cast("string").alias("key")) for k in keys])
+    counts = fact.select(F.explode(cells).alias("c")).groupBy("c.column", "c.key").agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counts, "key-counts")
+    rows = counts.groupBy("column").agg(F.sum("n").alias("rows"))
+    hot = counts.where("key is not null").join(F.broadcast(rows), "column").where(F.col("n") * width > F.col("rows"))
+    copies = F.greatest(F.lit(2), F.ceil(F.col("n") / F.col("rows") * width)).cast("int")
+    return stage(hot.select("column", "key", copies.alias("copies")), "hot-keys")
+
+
+def lookup_join(
+    fact: DataFrame, table: DataFrame, key: str, table_key: str, *, small: bool, hot: DataFrame | None = None
+) -> DataFrame:
     """Inner join ``fact.key = table.table_key``; the table's key column is dropped.
 
-    ``small`` is the outcome of ``fits_broadcast``. Otherwise both sides are shuffled, and
-    rows of hot keys are spread over several partitions by a salt taken from the row itself,
-    so that a task run again gives the same salt.
+    ``small`` is the outcome of ``fits_broadcast``. Otherwise both sides are shuffled, whatever
+    Spark thinks of the table's size, and rows of the ``hot`` values (see ``hot_keys``) are spread
+    over several partitions. The table holds every copy of such a value, so any salt is right; it
+    is a hash of the row and of the partition it was read in, for equal rows not to stay together.
     """
     table = table.withColumnRenamed(table_key, key)
     if small:
         return fact.join(F.broadcast(table), key)
-    hot = hot_keys(fact, key)
     if hot is None:
-        return fact.join(table, key)
-    # At most 2 / share rows, see hot_keys.
-    hot = F.broadcast(hot)
+        return fact.join(table.hint("merge"), key)
+    # Fewer rows than shuffle partitions, see hot_keys.
+    salted = F.broadcast(hot.where(F.col("column") == key).select(
+        F.col("key").cast(fact.schema[key].dataType).alias(key), F.col("copies").alias("__copies")))
     spread = F.xxhash64(*fact.columns, F.spark_partition_id())
-    salted_fact = fact.join(hot, key, "left").withColumn(
+    salted_fact = fact.join(salted, key, "left").withColumn(
         "__salt", F.coalesce(F.pmod(spread, F.col("__copies")).cast("int"), F.lit(0))
     )
     copies = F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)
-    salted_table = table.join(hot, key, "left").withColumn("__salt", F.explode(copies))
+    salted_table = table.join(salted, key, "left").withColumn("__salt", F.explode(copies))
     return salted_fact.drop("__copies").join(
-        salted_table.drop("__copies"), [key, "__salt"]
+        salted_table.drop("__copies").hint("merge"), [key, "__salt"]
     ).drop("__salt")

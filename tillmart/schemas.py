@@ -25,6 +25,7 @@ MANDATORY_COLUMNS = list(SALES_COLUMNS)
 
 FACT = _struct(**SALES_COLUMNS, additional_column=T.StringType())
 
+# The columns of the database tables and of the ledger.
 CUSTOMER = _struct(
     customer_id=T.IntegerType(),
     first_name=T.StringType(),
@@ -44,16 +45,6 @@ STORE = _struct(
     reviews=T.StringType(),
 )
 
-PRODUCT = _struct(
-    id=T.IntegerType(),
-    name=T.StringType(),
-    current_price=TABLE_MONEY,
-    old_price=TABLE_MONEY,
-    created_date=T.TimestampType(),
-    updated_date=T.TimestampType(),
-    expiry_date=T.DateType(),
-)
-
 SALES_TEAM = _struct(
     id=T.IntegerType(),
     first_name=T.StringType(),

@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="tillmart-")
@@ -39,8 +39,7 @@ def stage(df: DataFrame, label: str, within: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-_BYTES_PER_SHUFFLE_PARTITION = 2 * 1024**3
-_MOST_SHUFFLE_PARTITIONS = 50_000
+_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024**2
 
 
 @contextmanager
@@ -51,7 +50,7 @@ def shuffle_width(spark: SparkSession, input_bytes: int):
     """
     name = "spark.sql.shuffle.partitions"
     configured = spark.conf.get(name)
-    needed = min(math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION), _MOST_SHUFFLE_PARTITIONS)
+    needed = math.ceil(input_bytes / _BYTES_PER_SHUFFLE_PARTITION)
     spark.conf.set(name, str(max(int(configured), needed)))
     try:
         yield
