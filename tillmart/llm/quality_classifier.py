@@ -125,7 +125,11 @@ def judge_rows(rows: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     known = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("_doc_id")).agg(F.min("quality").cast("double").alias("label"))
     slim = rows.select("_doc_id", F.col("_host").alias("host"), F.col("_path").alias("path"), "features")
     labelled = stage(slim.join(known, "_doc_id", "left"), "labelled-features")
-    fitted_on = labelled.where("label is not null").orderBy(F.xxhash64("_doc_id", "features"), "_doc_id").limit(sample_rows).select("features", "label").collect()
+    # A hash picks about one and a half samples, so that tasks send no more than that to be ordered.
+    candidates = labelled.where("label is not null").withColumn("place", F.xxhash64("_doc_id", "features"))
+    share = min(1.0, 1.5 * sample_rows / max(candidates.count(), 1))
+    candidates = candidates.where(F.pmod("place", F.lit(1 << 30)) < share * (1 << 30))
+    fitted_on = candidates.orderBy("place", "_doc_id").limit(sample_rows).select("features", "label").collect()
     weights = fit(np.array([r["features"] for r in fitted_on], float), np.array([r["label"] for r in fitted_on], float))
     logit = reduce(add, [F.col("features")[i] * float(w) for i, w in enumerate(weights[:-1])], F.lit(float(weights[-1])))
     sites, k = posteriors(labelled.select("host", "path", F.coalesce("label", _probability(logit)).alias("y")))
