@@ -68,8 +68,9 @@ def test_components_against_brute_force(spark, bucket_rows):
     assert ids == sorted(least.values(), key=repr)
 
 
-@pytest.mark.parametrize("bucket_rows", [1 << 16, 20])
-def test_dense_and_chained_fingerprints(spark, bucket_rows):
+@pytest.mark.parametrize("bucket_rows, batch", [(1 << 16, 2000), (1 << 16, 7), (20, 7)])
+def test_dense_and_chained_fingerprints(spark, bucket_rows, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     rng = np.random.default_rng(5)
     fps = set()
     for _ in range(5):
@@ -90,6 +91,7 @@ def test_dense_and_chained_fingerprints(spark, bucket_rows):
     for f, root in want.items():
         assert seen.setdefault(root, roots[f]) == roots[f]
     assert len(set(seen.values())) == len(seen)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_spanning_links():

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded
+from tillmart.llm.blocks import arrow_map, bounded
 from tillmart.llm.token_ids import BLOCK_BYTES, crc_of, encoder
 
 SHARD_IDS = 2_000_000
@@ -135,7 +135,7 @@ def write_token_shards(docs: DataFrame, folder: str, vocabulary: str, end_id: in
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-    ordered.mapInArrow(_shards_of(vocabulary, end_id, shard_ids), SCHEMA).write.parquet(folder)
+    arrow_map(ordered, _shards_of(vocabulary, end_id, shard_ids), SCHEMA).write.parquet(folder)
 
 
 def read_token_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +191,7 @@ def lookup_ids(spark: SparkSession, folder: str, keys: list[int]) -> DataFrame:
     shards = read_token_shards(spark, folder)
     listed = F.array(*[F.lit(int(k)) for k in wanted]).cast("array<bigint>")
     shards = shards.where(F.exists(listed, lambda k: k.between(F.col("first_key"), F.col("last_key"))))
-    return shards.mapInArrow(_found_by(wanted), "doc_id long, ids array<bigint>")
+    return arrow_map(shards, _found_by(wanted), "doc_id long, ids array<bigint>")
 
 
 def _digests(batches):
@@ -225,4 +225,4 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     begun = begun.join(parts, "part").select("part", "shard", (F.col("parts_before") + F.col("shards_before")).alias("before"))
     # A few numbers per shard of two million ids.
     whole = shards.join(begun, ["part", "shard"])
-    return whole.mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(whole, _digests, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -2,8 +2,21 @@
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-TEXT_BYTES = 16 * 1024 * 1024
+TEXT_BYTES = 4 * 1024 * 1024
+BATCH_BYTES, BATCH_ROWS = 8 * 1024 * 1024, 2000
+
+
+def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of bounded size: a session with larger ones is set to these."""
+    conf = df.sparkSession.conf
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    for name, most in bounds.items():
+        now = int(conf.get(name).removesuffix("b"))
+        if now <= 0 or now > most:
+            conf.set(name, str(most))
+    return df.mapInArrow(function, schema)
 
 
 def plain_text(column: pa.Array) -> pa.Array:
@@ -29,6 +42,8 @@ def bounded(batches, text: str, limit: int = TEXT_BYTES):
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    # The worker goes on to other tasks; it need not hold what this one took.
+    pa.default_memory_pool().release_unused()
 
 
 def text_buffers(column: pa.Array):

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded, text_buffers
+from tillmart.llm.blocks import arrow_map, bounded, text_buffers
 from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.llm.words import LETTERS_AND_DIGITS
 from tillmart.workspace import stage
@@ -23,7 +23,7 @@ WINDOW = 13
 SLOP = 2
 TEST_BYTES = 32 * 1024 * 1024
 SHARD_BYTES = 16 * 1024 * 1024
-_CANDIDATES = 2_000_000
+_CANDIDATES = 500_000
 
 #: words: distinct test words; windows: their numbers, -1 after the end of a short phrase; items: of each window
 TestSet = namedtuple("TestSet", "words windows items window slop")
@@ -169,11 +169,11 @@ def _search(test, kind):
 def _against(docs: DataFrame, rows, window: int, slop: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     test = docs.sparkSession.sparkContext.broadcast(test_set(rows, window, slop))
-    index = stage(docs.mapInArrow(
+    index = stage(arrow_map(docs, 
         _index(test), f"doc_ids array<{kind.simpleString()}>, digests array<string>, n_words binary, span long, terms binary, counts binary, positions binary"
     ), "postings")
     arrow = {"bigint": pa.int64(), "string": pa.string(), "int": pa.int32()}[kind.simpleString()]
-    return index.mapInArrow(
+    return arrow_map(index, 
         _search(test, arrow), f"doc_id {kind.simpleString()}, digest string, n_words long, spans array<int>, items array<string>, n_near long"
     )
 

@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.frames import named_columns, numbered_columns
 
-SAMPLE_CHARS = 60_000
-SAMPLE_DOCUMENT_CHARS = 3_000
+SAMPLE_CHARS = 25_000
+SAMPLE_DOCUMENT_CHARS = 2_000
 ALPHABET = 60
 BLOCK_CHARS = 1024
 UNKNOWN = "und"
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFram
     docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != "text")
-    return docs.mapInArrow(_predict(shared, keep_text), f"{kinds}{', ' if kinds else ''}lang_pred string, score double")
+    return arrow_map(docs, _predict(shared, keep_text), f"{kinds}{', ' if kinds else ''}lang_pred string, score double")
 
 
 def fold(doc_id="doc_id"):

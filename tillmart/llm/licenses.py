@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.words import LETTERS_AND_DIGITS
 
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -168,7 +168,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_scan, (
+    return arrow_map(rows, _scan, (
         f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, expressions array<string>"
     ))

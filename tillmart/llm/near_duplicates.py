@@ -5,14 +5,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.workspace import stage
 
 DISTANCE = 3
 BUCKET_ROWS = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_ROWS = 1 << 20
+_ROWS = 1 << 17
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` of each row and ``fp``, the fingerprint's bits as a long. Null text has no words."""
     rows = docs.select(*keys, F.col("text").cast("string").alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(_fingerprints, f"{kinds}, fp long")
+    return arrow_map(rows, _fingerprints, f"{kinds}, fp long")
 
 
 def _probes(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -151,7 +151,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_RO
         "bucket", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("cell"), "fp"
     )
     ordered = cells.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    return ordered.mapInArrow(_link_buckets(distance), "a long, b long")
+    return arrow_map(ordered, _link_buckets(distance), "a long, b long")
 
 
 def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:

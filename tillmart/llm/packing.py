@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded
+from tillmart.llm.blocks import arrow_map, bounded
 from tillmart.llm.token_ids import BLOCK_BYTES, encoder
 from tillmart.workspace import stage
 
@@ -120,7 +120,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, size: int = SE
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pieces = stage(rows.mapInArrow(_pieces(vocabulary, end_id, size), _PIECES), "pieces")
+    pieces = stage(arrow_map(rows, _pieces(vocabulary, end_id, size), _PIECES), "pieces")
     counts = stage(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = _slots(spark, shortest_pack_first(histogram, size))

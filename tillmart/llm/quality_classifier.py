@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import bounded, plain_text
+from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.workspace import stage
 
@@ -58,7 +58,7 @@ def _featured(batches):
 def features(rows: DataFrame) -> DataFrame:
     """``rows`` with ``_text`` replaced by its ``features``."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
-    return rows.mapInArrow(_featured, f"{kinds}, features array<double>")
+    return arrow_map(rows, _featured, f"{kinds}, features array<double>")
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:

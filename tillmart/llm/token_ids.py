@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 from tillmart.llm.blocks import text_buffers
 
-MOST_UNITS = 500_000
+MOST_UNITS = 300_000
 BLOCK_BYTES = 8 * 1024 * 1024
 
 BLANK, LETTER, SIGN = 1, 2, 3
