@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tillmart import schemas
 from tillmart.sources import empty_fact, file_inventory, header_columns, read_drops, validate_headers
-from tillmart.sources.headers import first_line
+from tillmart.sources import drops
+from tillmart.sources.headers import first_line, parsed_headers
 
 ROW = "1,121,soap,2023-03-01,2,1.50,2,3.00"
 
@@ -113,6 +114,18 @@ def test_cells_that_do_not_parse_become_null_and_are_counted(spark, tmp_path, wr
     assert "bad_cells" not in load(spark, tmp_path).columns
 
 
+@pytest.mark.parametrize("few", [8, 0])
+def test_digits_cut_off_and_ragged_rows_are_counted(spark, tmp_path, write_file, monkeypatch, few):
+    monkeypatch.setattr(drops, "FEW_LAYOUTS", few)
+    write_file("a.csv", f"{HEADER}\n1,121,soap,2023-03-01,2,1.005,2,0.004\n2,121,soap,2023-03-01,2,1.50,2,3\n3,121,soap\n4{ROW[1:]},surplus\n")
+    write_file("b.csv", f"{HEADER},note\n5{ROW[1:]}\n6{ROW[1:]},\"a, b\"\n7{ROW[1:]},x,y\n8,121,\"so, ap\",2023-03-01,2,1.5,2,3,\n")
+    fact = load(spark, tmp_path, count_bad=True)
+    assert tuples(fact, "customer_id", "price", "bad_cells", "cut_cells", "ragged_rows", "additional_column") == [
+        (1, Decimal("1.01"), 0, 2, 0, None), (2, Decimal("1.50"), 0, 0, 0, None), (3, None, 0, 0, 1, None), (4, Decimal("1.50"), 0, 0, 1, None),
+        (5, Decimal("1.50"), 0, 0, 1, ""), (6, Decimal("1.50"), 0, 0, 0, "a, b"), (7, Decimal("1.50"), 0, 0, 1, "x"), (8, Decimal("1.50"), 0, 0, 0, ""),
+    ]
+
+
 def test_integer_and_decimal_files_give_one_decimal_column(spark, tmp_path, write_file):
     write_file("ints.csv", f"{HEADER}\n1,121,soap,2023-03-01,2,1,2,3\n")
     write_file("floats.csv", f"{HEADER}\n1.0,121,soap,2023-03-01 10:20:30,2.0,1.5,2.0,3.25\n")
@@ -143,6 +156,31 @@ def test_one_scan_per_header(spark, tmp_path, write_file):
     assert len([l for l in fact._jdf.queryExecution().analyzed().toString().splitlines() if "csv" in l]) == 2
 
 
+def test_many_headers_are_judged_and_read_in_a_few_jobs(spark, tmp_path, write_file):
+    names = HEADER.split(",")
+    jobs = {}
+    for n in (12, 100):
+        for i in range(n):
+            at = i % 9
+            write_file(f"{n}/sub {i % 3}/{i}.csv", ",".join([*names[:at], f"x{i}", *names[at:]]) + "\n" + ",".join([*ROW.split(",")[:at], f"v{i}", *ROW.split(",")[at:]]) + "\n")
+        spark.sparkContext.setJobGroup(f"many {n}", "")
+        fact = load(spark, tmp_path / str(n))
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"many {n}"))
+    # Each shuffle of an adaptive query counts as a job; their number does not follow the headers'.
+    assert abs(jobs[12] - jobs[100]) <= 2 and jobs[100] < 30
+    plan = fact._jdf.queryExecution().analyzed().toString()
+    assert sum(line.rstrip().endswith("] csv") for line in plan.splitlines()) == 1
+    spark.sparkContext.setJobGroup("other", "")
+    sale = (1, 121, "soap", date(2023, 3, 1), 2, Decimal("1.50"), 2, Decimal("3.00"))
+    assert tuples(fact) == sorted(((*sale, f"v{i}") for i in range(100)), key=repr)
+
+
+def test_names_of_columns_follow_spark(spark, write_file):
+    lines = ["b,,a", 'A,a,"a, b","x""y",', '"",a', "one", "a.b,A.B,c"]
+    got = {r["header"]: r["columns"] for r in parsed_headers(spark.createDataFrame([(x,) for x in lines], "header string")).collect()}
+    assert got == {x: header_columns(spark, str(write_file(f"{i}.csv", x + "\n"))) for i, x in enumerate(lines)}
+
+
 def test_an_unused_column_is_not_parsed(spark, tmp_path, write_file, capsys):
     write_file("a.csv", f"{HEADER},note\n{ROW},x\n")
     load(spark, tmp_path).select("store_id").explain()
