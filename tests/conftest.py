@@ -56,9 +56,9 @@ def store(spark):
 @pytest.fixture(scope="session")
 def sales_team(spark):
     rows = [
-        (1, "Sam", "Sun", 10, "N", "Hill 1", "701", date(2020, 5, 1)),
-        (2, "Tia", "Tor", 10, "N", "Hill 2", "702", date(2020, 5, 1)),
-        (3, "Uma", None, 10, "Y", "Hill 3", "703", date(2020, 5, 1)),
+        (1, "Sam", "Sun", 31, "no", "Hill 1", "701", date(2019, 11, 4)),
+        (2, "Tia", "Tor", 31, "no", "Hill 2", "702", date(2019, 11, 4)),
+        (3, "Uma", None, 31, "yes", "Hill 3", "703", date(2019, 11, 4)),
     ]
     return spark.createDataFrame(rows, schemas.SALES_TEAM)
 

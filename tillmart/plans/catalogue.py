@@ -15,7 +15,6 @@ from tillmart.operators import (
     customer_month_mart,
     customer_table_rows,
     customer_wide,
-    dimension_fit,
     enrich_sales,
     in_flight_names,
     ledger_close,
@@ -23,17 +22,18 @@ from tillmart.operators import (
     ledger_reject,
     ledger_state,
     pending_files,
+    rows_without_dimension,
     sales_wide,
     salesperson_month_mart,
     salesperson_month_total,
     salesperson_rank,
 )
-from tillmart.operators.lookup import DEFAULT_BOUNDS
-from tillmart.operators.marts import BYTES_PER_STORE_MONTH
+from tillmart.operators.marts import store_months_fit
 from tillmart.plans import deliveries, retail_tables
-from tillmart.plans.daily import DailyConfig, run
+from tillmart.plans.daily import DailyConfig, open_batch, run
 from tillmart.sinks import JdbcSink, snapshot_path, write_parquet
 from tillmart.sources import JdbcSource, file_inventory, read_drops, validate_headers
+from tillmart.sources.drops import COUNTS
 from tillmart.workspace import new_folder, stage
 
 NOW = datetime(2024, 1, 15, 12, 0, 0, tzinfo=timezone.utc)
@@ -53,16 +53,20 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-_fit = {}
+def _dimensions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [make(spark, sf_dir) for make in (retail_tables.customer, retail_tables.store, retail_tables.sales_team)]
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimensions are measured once per session and data folder, as a run does."""
-    dimensions = [make(spark, sf_dir) for make in (retail_tables.customer, retail_tables.store, retail_tables.sales_team)]
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _fit:
-        _fit[key] = dimension_fit(*dimensions)
-    return enrich_sales(retail_tables.fact(spark, sf_dir), *dimensions, fit=_fit[key])
+    return enrich_sales(retail_tables.fact(spark, sf_dir), *_dimensions(spark, sf_dir))
+
+
+def _folded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all sales goes to one customer; others have no customer or an unknown one."""
+    key = F.col("customer_id")
+    folded = F.when(key % 3 == 0, 3).when(key % 7 == 1, None).when(key % 7 == 2, -key).otherwise(key)
+    fact = retail_tables.fact(spark, sf_dir).withColumn("customer_id", folded)
+    return stage(fact, "folded-sales")
 
 
 def enriched_sales(spark, sf_dir):
@@ -70,14 +74,14 @@ def enriched_sales(spark, sf_dir):
 
 
 def enriched_sales_shuffled(spark, sf_dir):
-    """The same with every dimension treated as too large to broadcast."""
-    return _plain(enrich_sales(
-        retail_tables.fact(spark, sf_dir),
-        retail_tables.customer(spark, sf_dir),
-        retail_tables.store(spark, sf_dir),
-        retail_tables.sales_team(spark, sf_dir),
-        fit={"customer": False, "store": False, "sales_team": False},
-    ))
+    """Sales with a hot customer and every dimension treated as too large to broadcast."""
+    none_fits = {"customer": False, "store": False, "sales_team": False}
+    return _plain(enrich_sales(_folded_fact(spark, sf_dir), *_dimensions(spark, sf_dir), fit=none_fits))
+
+
+def sales_without_dimension(spark, sf_dir):
+    """How many of the same sales each dimension would lose."""
+    return rows_without_dimension(_folded_fact(spark, sf_dir), *_dimensions(spark, sf_dir))
 
 
 def customer_wide_mart(spark, sf_dir):
@@ -100,22 +104,17 @@ def month_rank(spark, sf_dir):
     return _plain(salesperson_rank(salesperson_month_total(sales_wide(_enriched(spark, sf_dir)))))
 
 
-_few_store_months = {}
-
-
-def _store_months_are_few(spark: SparkSession, sf_dir: str) -> bool:
-    """No more maxima than stores times months of orders; counted once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _few_store_months:
-        months = retail_tables.table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM")).distinct().count()
-        stores = retail_tables.store(spark, sf_dir).count()
-        _few_store_months[key] = stores * months * BYTES_PER_STORE_MONTH <= DEFAULT_BOUNDS.broadcast_bytes
-    return _few_store_months[key]
+def month_rank_ties(spark, sf_dir):
+    """Ranks of totals of quantities, of which many are equal; one store has none but NULLs."""
+    quantity = F.when(F.col("store_id") != 3, F.col("quantity").cast("decimal(18,2)"))
+    sales = retail_tables.sales(spark, sf_dir).withColumn("total_cost", quantity)
+    totals = salesperson_month_total(sales_wide(enrich_sales(sales, *_dimensions(spark, sf_dir))))
+    return _plain(salesperson_rank(totals))
 
 
 def salesperson_month(spark, sf_dir):
-    wide = sales_wide(_enriched(spark, sf_dir))
-    return _plain(salesperson_month_mart(wide, small_maxima=_store_months_are_few(spark, sf_dir)))
+    wide = stage(sales_wide(_enriched(spark, sf_dir)), "sales-wide")
+    return _plain(salesperson_month_mart(wide, small_maxima=store_months_fit(wide)))
 
 
 def drift_packed_union(spark, sf_dir):
@@ -123,57 +122,76 @@ def drift_packed_union(spark, sf_dir):
     return _plain(read_drops(spark, validate_headers(spark, files)))
 
 
+def bad_cell_counts(spark, sf_dir):
+    """What is wrong in carelessly made drops, per store."""
+    files = file_inventory(spark, deliveries.careless_drops(spark, sf_dir)).where("is_csv")
+    fact = read_drops(spark, validate_headers(spark, files), count_bad=True)
+    return fact.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(name).alias(name) for name in COUNTS])
+
+
 def _drop_month():
     return F.regexp_extract("path", "drop_month=([^/]*)/", 1).alias("drop_month")
 
 
 def source_listing(spark, sf_dir):
-    """Which months were delivered as CSV; the number of files per month is Spark's choice."""
+    """How many files were delivered for each month, and as what."""
     return file_inventory(spark, deliveries.monthly_drops(spark, sf_dir)).groupBy(_drop_month(), "is_csv").agg(
-        (F.min("length") > 0).alias("has_content")
+        F.count(F.lit(1)).alias("n_files"), F.count_distinct("path").alias("n_paths"), F.count("mtime").alias("n_dated"),
+        (F.min("length") > 0).alias("has_content"),
     )
 
 
 def header_verdicts(spark, sf_dir):
     files = file_inventory(spark, deliveries.monthly_drops(spark, sf_dir)).where("is_csv")
-    return validate_headers(spark, files).select(
-        _drop_month(),
-        F.array_join("missing", ",").alias("missing"),
-        F.array_join("extra", ",").alias("extra"),
-        "verdict",
-    ).distinct()
+    return validate_headers(spark, files).groupBy(
+        _drop_month(), F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"), "verdict",
+    ).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def rejected_files(spark, sf_dir):
+    """The list of rejected files that a run writes."""
+    folder = new_folder(spark, "rejecting")
+    config = DailyConfig(deliveries.monthly_drops(spark, sf_dir), f"{folder}/marts", f"{folder}/ledger", jdbc_url="")
+    _, _, _, rejected_dir = open_batch(spark, config, NOW, f"{folder}/work")
+    return spark.read.parquet(rejected_dir).groupBy(_drop_month(), F.array_join("missing", ",").alias("missing")).agg(
+        F.count(F.lit(1)).alias("n_files"))
 
 
 def _order_files(spark, sf_dir):
-    """Each order as a delivered file."""
+    """Each order as a delivered file in a folder of its own, named after the customer."""
     return retail_tables.table(spark, sf_dir, "orders").select(
-        F.concat_ws("/", F.lit("drops"), "o_orderpriority", F.concat(F.col("o_orderkey").cast("string"), F.lit(".csv"))).alias("path"),
+        F.concat_ws("/", F.lit("drops"), F.col("o_orderkey").cast("string"), F.concat(F.col("o_custkey").cast("string"), F.lit(".csv"))).alias("path"),
         F.col("o_orderdate").cast("timestamp").alias("mtime"),
-        "o_orderstatus", "o_orderpriority",
+        "o_orderkey", "o_orderstatus", "o_orderpriority",
     ).withColumn("file_name", base_name("path"))
 
 
 def _order_ledger(spark, sf_dir):
-    """Opened at the order date; filled orders are finished, partly filled ones rejected."""
-    files = _order_files(spark, sf_dir)
+    """Two thirds of the orders, opened at the order date; filled ones are finished, partly filled ones rejected."""
+    files = _order_files(spark, sf_dir).where("o_orderkey % 3 <> 0")
     opened = ledger_open(files, F.col("mtime"))
     closed = ledger_close(opened, files.where("o_orderstatus = 'F'"), NOW)
     return opened.unionByName(closed).unionByName(ledger_reject(files.where("o_orderstatus = 'P'"), NOW))
 
 
+def _listed_orders(spark, sf_dir):
+    """A seventh of the orders, most of them in the ledger."""
+    return _order_files(spark, sf_dir).where("o_orderkey % 7 = 0")
+
+
 def ledger_state_query(spark, sf_dir):
     state = ledger_state(_order_ledger(spark, sf_dir))
     return _plain(state.withColumn("updated_date", F.col("updated_date").cast("date")))
 
 
 def ledger_in_flight_query(spark, sf_dir):
-    return in_flight_names(_order_ledger(spark, sf_dir), _order_files(spark, sf_dir))
+    return in_flight_names(_order_ledger(spark, sf_dir), _listed_orders(spark, sf_dir))
 
 
 def pending_files_query(spark, sf_dir):
     """Urgent files have been delivered again since, so they are pending whatever their status."""
     again = F.when(F.col("o_orderpriority") == "1-URGENT", F.expr("mtime + interval 1 day")).otherwise(F.col("mtime"))
-    listed = _order_files(spark, sf_dir).withColumn("mtime", again)
+    listed = _listed_orders(spark, sf_dir).withColumn("mtime", again)
     return pending_files(listed, _order_ledger(spark, sf_dir)).select("path", "file_name")
 
 
@@ -186,6 +204,13 @@ def partitioned_mart_roundtrip(spark, sf_dir):
     ))
 
 
+def partition_pruning(spark, sf_dir):
+    """One month and one store of the partitioned mart; only their directory is read."""
+    folder = new_folder(spark, "sales-partitioned")
+    write_parquet(sales_wide(_enriched(spark, sf_dir)), folder, ["sales_month", "store_id"])
+    return _plain(spark.read.parquet(folder).where("sales_month >= '1995-03' and sales_month < '1995-06' and store_id between 5 and 12"))
+
+
 def snapshot_roundtrip(spark, sf_dir):
     folder = snapshot_path(new_folder(spark, "customer-snapshot"), NOW)
     write_parquet(customer_wide(_enriched(spark, sf_dir)), folder)
@@ -242,6 +267,11 @@ QUERIES = {
     "salesperson_rank": month_rank,
     "enriched_sales": enriched_sales,
     "enriched_sales_shuffled": enriched_sales_shuffled,
+    "salesperson_rank_ties": month_rank_ties,
+    "rows_without_dimension": sales_without_dimension,
+    "bad_cell_counts": bad_cell_counts,
+    "rejected_files": rejected_files,
+    "partition_pruning": partition_pruning,
     "customer_wide": customer_wide_mart,
     "sales_wide": sales_wide_mart,
     "drift_packed_union": drift_packed_union,

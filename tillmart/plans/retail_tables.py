@@ -9,15 +9,8 @@ from pyspark.sql import functions as F
 from tillmart.schemas import MANDATORY_COLUMNS, MONEY
 
 
-_tables = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; its schema is read from the file once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _tables:
-        _tables[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return _tables[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _names(column: str) -> list:
@@ -32,7 +25,7 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("address"),
         F.col("c_nationkey").cast("string").alias("pincode"),
         F.lpad(F.col("c_custkey").cast("string"), 10, "0").alias("phone_number"),
-        F.to_date(F.lit("2020-05-01")).alias("customer_joining_date"),
+        F.to_date(F.lit("2019-11-04")).alias("customer_joining_date"),
     )
 
 
@@ -42,7 +35,7 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("address"),
         F.col("n_regionkey").cast("string").alias("store_pincode"),
         F.concat(F.lit("MANAGER_"), F.col("n_nationkey").cast("string")).alias("store_manager_name"),
-        F.to_date(F.lit("2020-05-01")).alias("store_opening_date"),
+        F.to_date(F.lit("2019-11-04")).alias("store_opening_date"),
         F.lit(None).cast("string").alias("reviews"),
     )
 
@@ -55,7 +48,7 @@ def sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_acctbal") < 0, "Y").otherwise("N").alias("is_manager"),
         F.concat(F.lit("TEAM_"), F.col("s_nationkey").cast("string")).alias("address"),
         F.col("s_nationkey").cast("string").alias("pincode"),
-        F.to_date(F.lit("2020-05-01")).alias("joining_date"),
+        F.to_date(F.lit("2019-11-04")).alias("joining_date"),
     )
 
 
