@@ -26,6 +26,11 @@ def arguments():
     parser.add_argument("--jdbc-url", required=True)
     parser.add_argument("--jdbc-properties", help="JSON file with the JDBC properties")
     parser.add_argument("--customer-partition-column", default="customer_id", help="numeric key to read customers in parallel by")
+    parser.add_argument("--store-partition-column", default="id", help="the same for stores")
+    parser.add_argument("--sales-team-partition-column", default="id", help="the same for sales staff")
+    parser.add_argument("--read-partitions", type=int, default=16, help="connections per table read")
+    parser.add_argument("--fetch-size", type=int, default=10_000, help="rows a connection holds at a time")
+    parser.add_argument("--by-scan", action="store_true", help="read headers through Spark, for storage that only Spark reaches")
     parser.add_argument("--resume", action="store_true", help="go on although an earlier run did not finish")
     return parser.parse_args()
 
@@ -40,7 +45,9 @@ def main():
     config = DailyConfig(
         source_dir=args.source, output_dir=args.output, ledger_dir=args.ledger,
         jdbc_url=args.jdbc_url, jdbc_properties=properties,
-        customer_partition_column=args.customer_partition_column, resume=args.resume,
+        customer_partition_column=args.customer_partition_column,
+        store_partition_column=args.store_partition_column, sales_team_partition_column=args.sales_team_partition_column,
+        read_partitions=args.read_partitions, fetch_size=args.fetch_size, by_scan=args.by_scan, resume=args.resume,
     )
     spark = SparkSession.builder.appName("sales-marts").getOrCreate()
     report = run(spark, config, datetime.now(timezone.utc))

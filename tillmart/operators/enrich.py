@@ -107,3 +107,25 @@ def rows_without_dimension(
         lost = lost.select(F.lit(name).alias("dimension"), "rows_lost")
         report = lost if report is None else report.unionAll(lost)
     return report
+
+
+def fact_report(
+    fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
+    *, fit: dict[str, bool], counts: list[str],
+) -> dict:
+    """Rows, sums of ``counts`` and lost rows by dimension, in one pass for all that fit a broadcast."""
+    keys = (("customer", "customer_id", customer, "customer_id"), ("store", "store_id", store, "id"), ("sales_team", "sales_person_id", sales_team, "id"))
+    rows, totals = fact, [F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]]
+    for name, key, table, table_key in keys:
+        if fit[name]:
+            known = table.select(F.col(table_key).alias(key)).distinct().withColumn(f"__{name}", F.lit(True))
+            rows = rows.join(F.broadcast(known), key, "left")
+            totals.append(F.count_if(F.col(f"__{name}").isNull()).alias(f"lost_{name}"))
+    seen = rows.agg(*totals).first().asDict()
+    lost = {name: seen.pop(f"lost_{name}") for name, *_ in keys if fit[name]}
+    for name, key, table, table_key in keys:
+        if not fit[name]:
+            per_key = fact.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+            unknown = per_key.join(table.select(F.col(table_key).alias("key")), "key", "left_anti")
+            lost[name] = unknown.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return {**seen, "rows_lost": {name: lost[name] for name, *_ in keys}}

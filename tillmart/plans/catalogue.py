@@ -24,11 +24,10 @@ from tillmart.operators import (
     pending_files,
     rows_without_dimension,
     sales_wide,
-    salesperson_month_mart,
     salesperson_month_total,
     salesperson_rank,
 )
-from tillmart.operators.marts import store_months_fit
+from tillmart.operators.marts import salesperson_incentives, salesperson_totals, store_months_fit
 from tillmart.plans import deliveries, retail_tables
 from tillmart.plans.daily import DailyConfig, open_batch, run
 from tillmart.sinks import JdbcSink, snapshot_path, write_parquet
@@ -113,8 +112,8 @@ def month_rank_ties(spark, sf_dir):
 
 
 def salesperson_month(spark, sf_dir):
-    wide = stage(sales_wide(_enriched(spark, sf_dir)), "sales-wide")
-    return _plain(salesperson_month_mart(wide, small_maxima=store_months_fit(wide)))
+    totals = stage(salesperson_totals(sales_wide(_enriched(spark, sf_dir))), "totals")
+    return _plain(salesperson_incentives(totals, small_maxima=store_months_fit(totals)))
 
 
 def drift_packed_union(spark, sf_dir):
@@ -229,35 +228,42 @@ def _database(spark: SparkSession) -> str:
 
 
 def jdbc_roundtrip(spark, sf_dir):
-    url = _database(spark)
+    url, own = _database(spark), f"t{uuid.uuid4().hex[:12]}_"
     sink, source = JdbcSink(url), JdbcSource(url)
-    sink.append(retail_tables.customer(spark, sf_dir), "customer")
-    customers = stage(source.read(spark, "customer", '"customer_id"', 8), "customer")
+    sink.append(retail_tables.customer(spark, sf_dir), f"{own}customer")
+    customers = stage(source.read(spark, f"{own}customer", '"customer_id"', 8), "customer")
     enriched = enrich_sales(
         retail_tables.fact(spark, sf_dir), customers,
         retail_tables.store(spark, sf_dir), retail_tables.sales_team(spark, sf_dir),
     )
     mart = customer_table_rows(customer_month_mart(customer_wide(enriched)))
-    sink.append(mart, "customers_data_mart")
-    return _plain(source.read(spark, "customers_data_mart", '"customer_id"', 8))
+    sink.append(mart, f"{own}customer_mart")
+    return _plain(source.read(spark, f"{own}customer_mart", '"customer_id"', 8))
 
 
 def daily_run(spark, sf_dir):
-    """The whole job, on all sales as drops with three different headers."""
-    url = _database(spark)
+    """The whole job, on all sales as drops with three different headers, in tables of its own."""
+    url, own = _database(spark), f"t{uuid.uuid4().hex[:12]}_"
     sink = JdbcSink(url)
-    sink.append(retail_tables.customer(spark, sf_dir), "customer")
-    sink.append(retail_tables.store(spark, sf_dir), "store")
-    sink.append(retail_tables.sales_team(spark, sf_dir), "sales_team")
+    sink.append(retail_tables.customer(spark, sf_dir), f"{own}customer")
+    sink.append(retail_tables.store(spark, sf_dir), f"{own}store")
+    sink.append(retail_tables.sales_team(spark, sf_dir), f"{own}sales_team")
     folder = new_folder(spark, "daily")
     run(spark, DailyConfig(
         source_dir=deliveries.drifting_drops(spark, sf_dir),
         output_dir=f"{folder}/marts",
         ledger_dir=f"{folder}/ledger",
         jdbc_url=url,
+        customer_table=f"{own}customer",
+        store_table=f"{own}store",
+        sales_team_table=f"{own}sales_team",
+        customer_mart_table=f"{own}customer_mart",
+        sales_team_mart_table=f"{own}sales_team_mart",
         customer_partition_column='"customer_id"',
+        store_partition_column='"id"',
+        sales_team_partition_column='"id"',
     ), NOW)
-    return _plain(JdbcSource(url).read(spark, "sales_team_data_mart", '"sales_person_id"', 8))
+    return _plain(JdbcSource(url).read(spark, f"{own}sales_team_mart", '"sales_person_id"', 8))
 
 
 QUERIES = {
