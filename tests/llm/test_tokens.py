@@ -1,0 +1,123 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillmart.llm.binary_output import PerfectHash, lookup_ids, mix, read_digests, read_token_shards, write_token_shards
+from tillmart.llm.blocks import bounded
+from tillmart.llm.catalogue import BYTE_BPE
+from tillmart.llm.packing import pack_documents, shortest_pack_first
+from tillmart.llm.token_ids import Encoder
+
+HARD = [
+    "", "a", " a", "a ", "  a b", "a  b\n\nc\n d", "x y z", "é à\nb\n", "\n", "\n\na", "a\tb c", "don't I'm we'll it's,", "日本 語 x",
+    "<|endoftext|> a", "a　b c", "a\r\nb c\r\n d", "w\x1cx y", "﻿a b", "a\x85b c", "it's, \"x\" a.b.c 3.5,7 é, à! ñ-o ×, a×b", "a ,b, .c",
+    "x\n,y\n.z", "Ünïcode wörds, Ĝis łater", "nul\x00l é\x00", "हिन्दी शब्द", "a" * 5000, "word " * 3000, "end. ", "ǅungla ſ ß",
+]
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return Encoder(BYTE_BPE, most_units=40)
+
+
+def plain_ids(coder, text, end):
+    return coder.tokenizer.encode_batch([text or ""], add_special_tokens=False)[0].ids + [end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_ids_equal_the_library(coder):
+    rng = random.Random(1)
+    texts = HARD + ["".join(rng.choices("ab é.,'\n \t!9×ß日", k=rng.randint(1, 60))) for _ in range(400)]
+    for part in (texts, texts[::-1], texts[:1]):
+        ids, at = coder.encode(pa.array(part))
+        for i, text in enumerate(part):
+            assert ids[at[i]:at[i + 1]].tolist() + [7] == plain_ids(coder, text, 7), repr(text)
+
+
+def test_blocks_are_bounded():
+    batch = pa.RecordBatch.from_arrays([pa.array(["aa", None, "bbb", "c" * 20, "", "d"])], ["text"])
+    assert [b.num_rows for b in bounded([batch, batch.slice(0, 0)], "text", 5)] == [3, 1, 2]
+
+
+def test_perfect_hash():
+    keys = np.unique(np.random.default_rng(3).integers(-2**63, 2**63 - 1, 5000))
+    index = PerfectHash.build(keys)
+    assert sorted(index.slots(keys).tolist()) == list(range(len(keys)))
+    assert len(np.unique(mix(keys, 0))) == len(keys)
+    assert PerfectHash.build(keys[:0]).slots(keys[:3]).tolist() == [-1, -1, -1]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(2)
+    texts = HARD + [None] + [" ".join(rng.choices(["alpha", "béta", "gamma,", "Δ", "x1"], k=rng.randint(1, 300))) for _ in range(150)]
+    out = [(3 * i - 50, t, "n") for i, t in enumerate(texts)]
+    return out + [(4, "twice", "n"), (4, "twice", "n"), (4, "again", "n"), (None, "no key", "n"), (None, None, "n"), (-2**63, "least", "n")]
+
+
+@pytest.mark.parametrize("shard_ids", [2_000_000, 100])
+def test_shards_round_trip(spark, rows, coder, tmp_path, shard_ids):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part string").repartition(5)
+    folder = str(tmp_path / "shards")
+    write_token_shards(docs, folder, BYTE_BPE, end_id=2, shard_ids=shard_ids)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    want, start = [], 0
+    for doc_id, text, _ in ordered:
+        ids = plain_ids(coder, text, 2)
+        want.append((doc_id, start, len(ids), crc(ids)))
+        start += len(ids)
+    got = [tuple(r) for r in read_digests(spark, folder).collect()]
+    assert sorted(got, key=lambda r: r[1]) == want
+    assert read_token_shards(spark, folder).count() > (20 if shard_ids == 100 else 0)
+    keys = [4, -50, 10**9, -2**63, 7, 5]
+    found = sorted((r["doc_id"], r["ids"]) for r in lookup_ids(spark, folder, keys).collect())
+    assert found == sorted((d, plain_ids(coder, t, 2)) for d, t, _ in rows if d in keys)
+
+
+def test_pack_patterns():
+    rng = random.Random(4)
+    for _ in range(60):
+        size = rng.choice([1, 7, 64])
+        histogram = {n: rng.randint(1, 500) for n in rng.sample(range(1, size + 1), rng.randint(1, min(size, 9)))}
+        placed = {}
+        for count, lengths in shortest_pack_first(histogram, size):
+            assert count > 0 and sum(lengths) <= size
+            for n in lengths:
+                placed[n] = placed.get(n, 0) + count
+        assert placed == histogram
+    assert shortest_pack_first({}, 8) == []
+    packs = shortest_pack_first({n: 100 for n in range(1, 65)}, 64)
+    assert sum(c * (64 - sum(ls)) for c, ls in packs) < 0.03 * 64 * sum(c for c, _ in packs)
+
+
+@pytest.mark.parametrize("size", [2048, 50])
+def test_packing_against_the_library(spark, rows, coder, size):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+    out = pack_documents(docs, BYTE_BPE, end_id=1, size=size).collect()
+    ids_of = [(d, plain_ids(coder, t, 1)) for d, t, _ in rows]
+    want = sorted(((d, len(i), s, i[s:s + size]) for d, i in ids_of for s in range(0, len(i), size)), key=repr)
+    got = sorted(((r["doc_id"], r["doc_tokens"], r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in out), key=repr)
+    assert got == want
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= size
+
+
+def test_empty(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    write_token_shards(docs, str(tmp_path / "none"), BYTE_BPE, end_id=2)
+    assert read_digests(spark, str(tmp_path / "none")).collect() == []
+    assert pack_documents(docs, BYTE_BPE, end_id=1).collect() == []
