@@ -15,8 +15,11 @@ from tillmart.llm import (
     quality_classifier,
     quality_rules,
 )
+from tillmart.llm.oracle import ORACLE
 from tillmart.workspace import new_folder
 
+__all__ = ["BYTE_BPE", "ORACLE", "QUERIES", "table"]
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -32,7 +35,7 @@ def op1_quality(spark, sf_dir):
 def op2_decontamination(spark, sf_dir):
     """All documents against all passages of the benchmark."""
     found = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return decontamination.judge_passages(found)
+    return decontamination.judge_passages(found).drop("n_near")
 
 
 def op3_token_shards(spark, sf_dir):
@@ -44,7 +47,7 @@ def op3_token_shards(spark, sf_dir):
 
 def op4_url_trust(spark, sf_dir):
     """All pages judged by rules and by what reaches their hosts."""
-    return host_trust.judge_urls(table(spark, sf_dir, "pages"))
+    return host_trust.judge_urls(table(spark, sf_dir, "pages")).drop("trust", "distrust")
 
 
 def op5_licenses(spark, sf_dir):
@@ -97,4 +100,3 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
-ORACLE = {}

@@ -8,30 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillmart.workspace import stage
+
 TURNS_PER_PIECE = 1024
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 TRAINED = ("assistant",)
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """conv_id, pos (from 0), role, text; rows with the same turn are ordered by role and text."""
+    """conv_id, pos (from 0), role, text and their digest; rows with the same turn are ordered by role and text."""
     order = W.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text"))
     return turns.where("conv_id is not null").select(
-        "conv_id", (F.row_number().over(order) - 1).cast("long").alias("pos"), F.col("role").cast("string"), F.col("text").cast("string"))
-
+        "conv_id", (F.row_number().over(order) - 1).cast("long").alias("pos"), F.col("role").cast("string"), F.col("text").cast("string"),
+    ).withColumn("digest", F.sha2(F.to_json(F.struct("role", "text")), 256))
 
-def common_prefix(turns: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sides, prefix): each pair's turns by position, and how many turns both begin with.
 
-    sides: pair_id, pos, a_role, a_text, b_role, b_text, has_a, has_b. prefix: pair_id, n_prompt.
-    """
-    side = lambda key, name: pairs.select("pair_id", F.col(key).alias("conv_id")).join(turns, "conv_id").select(
-        "pair_id", "pos", F.col("role").alias(f"{name}_role"), F.col("text").alias(f"{name}_text"), F.lit(True).alias(f"has_{name}"))
+def common_prefix(turns: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(pair_id, n_prompt): with how many equal turns both conversations begin; digests are compared."""
+    side = lambda key, name: pairs.select("pair_id", F.col(key).alias("conv_id")).join(
+        turns.select("conv_id", "pos", F.col("digest").alias(name)), "conv_id").drop("conv_id")
     both = side("chosen_id", "a").join(side("rejected_id", "b"), ["pair_id", "pos"], "full")
-    same = F.coalesce("has_a", F.lit(False)) & F.coalesce("has_b", F.lit(False)) & F.col("a_role").eqNullSafe(F.col("b_role")) & F.col("a_text").eqNullSafe(F.col("b_text"))
-    prefix = both.groupBy("pair_id").agg(
-        F.coalesce(F.min(F.when(~same, F.col("pos"))), F.max("pos") + 1).alias("n_prompt"), F.max("pos").alias("last"))
-    return both, prefix
+    differs = F.col("a").isNull() | F.col("b").isNull() | (F.col("a") != F.col("b"))
+    return both.groupBy("pair_id").agg(F.coalesce(F.min(F.when(differs, F.col("pos"))), F.max("pos") + 1).alias("n_prompt"))
 
 
 def _head(role: Column) -> Column:
@@ -66,23 +64,20 @@ def format_preferences(
     left out, as are turns without conv_id. Repeated turn rows are turns of their own.
     """
     pairs = pairs.select("pair_id", "chosen_id", "rejected_id").where("pair_id is not null")
-    both, prefix = common_prefix(numbered(turns), pairs)
-    # Both keep the pair's positions together by the same key.
-    placed = both.join(prefix.select("pair_id", "n_prompt"), "pair_id")
-    piece = F.floor(F.col("pos") / turns_per_piece).alias("piece")
-
-    def part(side, wanted):
-        role, text = F.col(f"{side}_role"), F.col(f"{side}_text")
-        return F.when(wanted & F.col(f"has_{side}"), F.struct(
-            F.col("pos").alias("pos"), _head(role).alias("head"), F.concat(F.coalesce(text, F.lit("")), F.lit(END)).alias("body"),
-            F.coalesce(role.isin(*trained), F.lit(False)).alias("trained")))
-
+    turns = stage(numbered(turns), "numbered-turns")
+    prefix = common_prefix(turns, pairs)
+    side = lambda key, name: pairs.select("pair_id", F.col(key).alias("conv_id")).join(turns, "conv_id").select(
+        "pair_id", "pos", "role", "text", F.lit(name).alias("side"))
+    # The shared turns of the rejected conversation are left behind before texts move by pair.
+    rows = side("chosen_id", "a").unionByName(side("rejected_id", "b")).join(prefix, "pair_id")
+    rows = rows.where((F.col("side") == "a") | (F.col("pos") >= F.col("n_prompt")))
+    part = F.struct(
+        F.col("pos").alias("pos"), _head(F.col("role")).alias("head"), F.concat(F.coalesce("text", F.lit("")), F.lit(END)).alias("body"),
+        F.coalesce(F.col("role").isin(*trained), F.lit(False)).alias("trained"))
+    listed = lambda wanted: F.sort_array(F.collect_list(F.when(wanted, part)))
     shared = F.col("pos") < F.col("n_prompt")
-    rows = placed.groupBy("pair_id", "n_prompt", piece).agg(
-        F.sort_array(F.collect_list(part("a", shared))).alias("p"),
-        F.sort_array(F.collect_list(part("a", ~shared))).alias("a"),
-        F.sort_array(F.collect_list(part("b", ~shared))).alias("b"),
-    )
+    rows = rows.groupBy("pair_id", "n_prompt", F.floor(F.col("pos") / turns_per_piece).alias("piece")).agg(
+        listed(shared).alias("p"), listed(~shared & (F.col("side") == "a")).alias("a"), listed(F.col("side") == "b").alias("b"))
     prompt, _ = _rendered(F.col("p"))
     chosen, chosen_mask = _rendered(F.col("a"))
     rejected, rejected_mask = _rendered(F.col("b"))
