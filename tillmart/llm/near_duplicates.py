@@ -209,10 +209,12 @@ def simhash_components(docs: DataFrame, distance: int = DISTANCE, bucket_rows: i
     return prints.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def keep_one(
+    docs: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKET_ROWS, broadcast_bytes: int = 32 * 1024 * 1024
+) -> DataFrame:
     """The row with the smallest doc_id of each component, null ids last; of several such the first as stored.
 
-    The rows are written once with a number each, which names the rows kept.
+    The rows are written once with a number each, which names the rows to drop.
     """
     inner, at = numbered_columns(docs)
     rows = stage(inner.withColumn("row", F.monotonically_increasing_id()), "numbered-rows")
@@ -220,6 +222,10 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE, bucket_rows: int = BUCKE
     prints = stage(fingerprints(ids, ["row", "doc_id"]), "fingerprints")
     groups = near_duplicate_groups(prints, distance, bucket_rows)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    groups = stage(groups, "groups")
     best = prints.groupBy("fp").agg(F.min(order).alias("o")).join(groups, "fp").groupBy("root").agg(F.min("o").alias("o"))
-    kept = stage(best.select(F.col("o.row").alias("row")), "kept-rows")
-    return named_columns(rows.join(kept, "row", "left_semi"), at)
+    best = stage(groups.join(best, "root").select("fp", F.col("o.row").alias("best")), "best-rows")
+    extra = stage(prints.join(best, "fp").where("row <> best").select("row"), "extra-rows")
+    # Copies are fewer than rows: while they are few enough to be sent to all tasks, no text is shuffled.
+    extra = F.broadcast(extra) if extra.count() * 24 <= broadcast_bytes else extra.hint("merge")
+    return named_columns(rows.join(extra, "row", "left_anti"), at)
