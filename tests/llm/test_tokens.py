@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from tillmart.llm.binary_output import PerfectHash, lookup_ids, mix, read_digests, read_token_shards, write_token_shards
-from tillmart.llm.blocks import bounded
+from tillmart.llm.blocks import BATCH_BYTES, arrow_map, bounded
 from tillmart.llm.catalogue import BYTE_BPE
 from tillmart.llm.packing import pack_documents, shortest_pack_first
 from tillmart.llm.token_ids import Encoder
@@ -45,6 +45,15 @@ def test_blocks_are_bounded():
     assert [b.num_rows for b in bounded([batch, batch.slice(0, 0)], "text", 5)] == [3, 1, 2]
 
 
+@pytest.mark.parametrize("given, used", [("64m", BATCH_BYTES), ("-1b", BATCH_BYTES), ("100k", None), ("67108864", BATCH_BYTES)])
+def test_batches_are_made_small(spark, given, used):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, given)
+    assert arrow_map(spark.range(3), lambda batches: batches, "id long").count() == 3
+    assert spark.conf.get(name) == (str(used) if used else given)
+    spark.conf.unset(name)
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(3).integers(-2**63, 2**63 - 1, 5000))
     index = PerfectHash.build(keys)

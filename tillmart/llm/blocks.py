@@ -1,5 +1,7 @@
 """Cutting Arrow batches into pieces of bounded text, whatever the length of a row."""
 
+import re
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -13,7 +15,8 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     conf = df.sparkSession.conf
     bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
     for name, most in bounds.items():
-        now = int(conf.get(name).removesuffix("b"))
+        number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgtp]?)b?", conf.get(name).lower()).groups()
+        now = int(number) << 10 * "bkmgtp".index(unit or "b")
         if now <= 0 or now > most:
             conf.set(name, str(most))
     return df.mapInArrow(function, schema)
