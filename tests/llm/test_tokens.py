@@ -45,7 +45,7 @@ def test_blocks_are_bounded():
     assert [b.num_rows for b in bounded([batch, batch.slice(0, 0)], "text", 5)] == [3, 1, 2]
 
 
-@pytest.mark.parametrize("given, used", [("64m", BATCH_BYTES), ("-1b", BATCH_BYTES), ("100k", None), ("67108864", BATCH_BYTES)])
+@pytest.mark.parametrize("given, used", [("64m", BATCH_BYTES), ("1gb", BATCH_BYTES), ("100k", None), ("67108864", BATCH_BYTES)])
 def test_batches_are_made_small(spark, given, used):
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark.conf.set(name, given)
