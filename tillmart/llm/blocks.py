@@ -1,5 +1,6 @@
 """Cutting Arrow batches into pieces of bounded text, whatever the length of a row."""
 
+import ctypes
 import re
 
 import pyarrow as pa
@@ -22,6 +23,13 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker goes on to other tasks and need not hold what one took."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def plain_text(column: pa.Array) -> pa.Array:
     """Text with 64-bit offsets starting at zero; null becomes the empty text."""
     filled = pc.fill_null(column.cast(pa.large_string()), "")
@@ -45,8 +53,7 @@ def bounded(batches, text: str, limit: int = TEXT_BYTES):
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
-    # The worker goes on to other tasks; it need not hold what this one took.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def text_buffers(column: pa.Array):

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import arrow_map, bounded, text_buffers
+from tillmart.llm.blocks import arrow_map, bounded, give_back, text_buffers
 from tillmart.llm.frames import named_columns, numbered_columns
 from tillmart.llm.words import LETTERS_AND_DIGITS
 from tillmart.workspace import stage
@@ -163,6 +163,7 @@ def _search(test, kind):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(row["doc_ids"], kind), pa.array(row["digests"], pa.string()), pa.array(n_words), spans, items, pa.array(near.astype(np.int64)),
                 ], ["doc_id", "digest", "n_words", "spans", "items", "n_near"])
+        give_back()
     return search
 
 

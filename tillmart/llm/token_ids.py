@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 
 from tillmart.llm.blocks import text_buffers
 
-MOST_UNITS = 300_000
-BLOCK_BYTES = 8 * 1024 * 1024
+MOST_UNITS = 250_000
+BLOCK_BYTES = 4 * 1024 * 1024
 
 BLANK, LETTER, SIGN = 1, 2, 3
 _KIND = np.zeros(256, np.uint8)
