@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import arrow_map, bounded
+from tillmart.llm.blocks import arrow_map, bounded, give_back
 from tillmart.llm.token_ids import BLOCK_BYTES, crc_of, encoder
 
 SHARD_IDS = 2_000_000
@@ -122,6 +122,8 @@ def _shards_of(path: str, end_id: int, shard_ids: int):
                     keys, lengths, held, n, shard = [], [], [], 0, shard + 1
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, shard, keys, lengths, np.concatenate(held), width)], _BATCH)
+        coder.forget()
+        give_back()
     return make
 
 

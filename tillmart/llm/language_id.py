@@ -149,7 +149,7 @@ def _predict(model, keep_text):
     def predict(batches):
         is_letter, m = letters(), model.value
         names = np.array([*m.languages, UNKNOWN], object)
-        for batch in bounded(batches, "text", 4 * 1024 * 1024):
+        for batch in bounded(batches, "text", 1024 * 1024):
             texts = plain_text(batch.column("text")).to_pylist()
             lengths = np.array([len(t) for t in texts])
             points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")

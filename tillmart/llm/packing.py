@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillmart.llm.blocks import arrow_map, bounded
+from tillmart.llm.blocks import arrow_map, bounded, give_back
 from tillmart.llm.token_ids import BLOCK_BYTES, encoder
 from tillmart.workspace import stage
 
@@ -98,6 +98,8 @@ def _pieces(path: str, end_id: int, size: int):
                 batch.column("doc_id").cast(pa.int64()).take(pa.array(row)), pa.array(lengths[row]), pa.array(start),
                 pa.array(length.astype(np.int32)), held.cast(pa.binary()), pa.array(np.full(len(row), part, np.int32)), pa.array(place),
             ], ["doc_id", "doc_tokens", "start", "length", "ids", "part", "place"])
+        coder.forget()
+        give_back()
     return cut
 
 

@@ -53,9 +53,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most_units = most_units
-        self._forget()
+        self.forget()
 
-    def _forget(self):
+    def forget(self):
+        """Leave the units behind; the end of a task is a good time."""
         self.rows, self.pool, self.filled = {}, np.zeros(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -107,7 +108,7 @@ class Encoder:
         found = np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
         new = [names[i] for i in np.flatnonzero(found < 0)]
         if len(self.rows) + len(new) > self.most_units:
-            self._forget()
+            self.forget()
             new = names
         if new:
             self._learn(new)
