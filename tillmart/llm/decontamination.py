@@ -22,7 +22,7 @@ from tillmart.workspace import stage
 WINDOW = 13
 SLOP = 2
 TEST_BYTES = 32 * 1024 * 1024
-SHARD_BYTES = 16 * 1024 * 1024
+SHARD_BYTES = 2 * 1024 * 1024
 _CANDIDATES = 500_000
 
 #: words: distinct test words; windows: their numbers, -1 after the end of a short phrase; items: of each window
