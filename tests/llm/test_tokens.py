@@ -105,6 +105,25 @@ def test_pack_patterns():
     assert sum(c * (64 - sum(ls)) for c, ls in packs) < 0.03 * 64 * sum(c for c, _ in packs)
 
 
+def n_sequences(histogram, size=2048):
+    return sum(count for count, _ in shortest_pack_first(histogram, size))
+
+
+def test_a_hot_short_length_fills_its_packs():
+    assert n_sequences({1500: 1, 100: 10_000}) <= 501
+    assert n_sequences({100: 10_000}) == 500
+    rng = random.Random(6)
+    histogram = {}
+    for _ in range(20_000):
+        n = min(2048, max(1, int(rng.lognormvariate(5.5, 1))))
+        histogram[n] = histogram.get(n, 0) + 1
+    for hot in (101, 30, 700):
+        mixed = histogram | {hot: histogram.get(hot, 0) + 10_000}
+        used = sum(n * c for n, c in mixed.items()) / 2048
+        assert used <= n_sequences(mixed) < 1.03 * used
+    assert n_sequences(histogram | {1: 100_000}) < 1.03 * (sum(n * c for n, c in histogram.items()) + 100_000) / 2048
+
+
 @pytest.mark.parametrize("size", [2048, 50])
 def test_packing_against_the_library(spark, rows, coder, size):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)

@@ -1,6 +1,7 @@
 """Packing documents into sequences: shortest-pack-first over the histogram of lengths."""
 
 import heapq
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,9 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int,
     """Patterns of lengths and how often each is used, ``[(count, lengths), ...]``.
 
     Lengths are placed longest first. A length goes to the packs that are shortest so far, as
-    many of them as it has pieces, else opens new ones; the packs of a pattern are moved
-    together, so the work goes with the number of patterns and not of pieces.
+    often as it fits into each, and opens new ones only when no open pack has room for it; the
+    packs of a pattern are moved together, so the work goes with the number of patterns and not
+    of pieces.
     """
     open_ = {}  # room left -> [(count, lengths)]
     rooms, done = [], []
@@ -37,32 +39,33 @@ def shortest_pack_first(histogram: dict[int, int], size: int) -> list[tuple[int,
             heapq.heappush(rooms, -room)
         open_[room].append((count, lengths))
 
+    def fill(room, count, lengths, length, left):
+        """Up to ``left`` pieces into ``count`` packs of a pattern, full packs first; what is left, and the packs made."""
+        fits = room // length
+        full = min(count, left // fits)
+        rest = left - full * fits if full < count else 0
+        made = [(room - fits * length, full, lengths + (length,) * fits)] if full else []
+        if rest:
+            made.append((room - rest * length, 1, lengths + (length,) * rest))
+        untouched = count - full - bool(rest)
+        if untouched and lengths:
+            made.append((room, untouched, lengths))
+        return left - full * fits - rest, made
+
     for length in sorted(histogram, reverse=True):
-        left, placed = histogram[length], []
+        left, made = histogram[length], []
         while left:
             while rooms and not open_.get(-rooms[0]):
                 open_.pop(-heapq.heappop(rooms), None)
-            if not rooms or -rooms[0] < length:
-                placed.append((size - length, left, (length,)))
-                break
-            count, lengths = open_[-rooms[0]].pop()
-            used = min(count, left)
-            if count > used:
-                open_[-rooms[0]].append((count - used, lengths))
-            placed.append((-rooms[0] - length, used, lengths + (length,)))
-            left -= used
-        # A pack takes one piece of a length at a time; packs just made are open again for the rest.
-        for room, count, lengths in placed:
-            fits = room // length if len(placed) == 1 and len(lengths) == 1 else 0
-            if fits and count > 1:
-                per = fits + 1
-                full, rest = divmod(count, per)
-                if full:
-                    put(size - per * length, full, (length,) * per)
-                if rest:
-                    put(size - rest * length, 1, (length,) * rest)
+            if rooms and -rooms[0] >= length:
+                room = -rooms[0]
+                count, lengths = open_[room].pop()
             else:
-                put(room, count, lengths)
+                room, count, lengths = size, left, ()
+            left, now = fill(room, count, lengths, length, left)
+            made += now
+        for pack in made:
+            put(*pack)
     return done + [pack for packs in open_.values() for pack in packs]
 
 
@@ -129,25 +132,26 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, size: int = SE
     of_length = W.partitionBy("length").orderBy("part")
     before = counts.select("part", "length", (F.sum("n").over(of_length) - F.col("n")).alias("before"))
     ranked = pieces.join(_if_small(before, 24, counts.count()), ["part", "length"]).withColumn("rank", F.col("before") + F.col("place"))
-    # At most two rows per length and pattern.
+    # One row per length and pattern that holds it.
     placed = ranked.join(F.broadcast(slots), "length").where(
         (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
-    )
+    ).withColumn("nth", F.col("rank") - F.col("from_rank"))
     return placed.select(
         "doc_id", "doc_tokens", "start", F.col("length").cast("long"), "ids",
-        (F.col("first_sequence") + F.col("rank") - F.col("from_rank")).alias("sequence_id"), F.col("slot_offset").alias("offset"),
+        (F.col("first_sequence") + F.expr("nth div times")).alias("sequence_id"),
+        (F.col("slot_offset") + F.col("nth") % F.col("times") * F.col("length")).alias("offset"),
     )
 
 
 def _slots(spark: SparkSession, patterns: list) -> DataFrame:
-    """For each length the ranges of ranks and the sequences and offset they fill."""
+    """For each length the ranges of ranks, the sequences they fill, ``times`` ranks each, and the first one's offset."""
     taken, rows, sequence = {}, [], 0
     for count, lengths in patterns:
         offset = 0
-        for length in lengths:
-            rank = taken.get(length, 0)
-            rows.append((length, rank, rank + count, sequence, offset))
-            taken[length] = rank + count
-            offset += length
+        for length, same in groupby(lengths):
+            times, rank = len([*same]), taken.get(length, 0)
+            rows.append((length, rank, rank + count * times, sequence, times, offset))
+            taken[length] = rank + count * times
+            offset += length * times
         sequence += count
-    return spark.createDataFrame(rows, "length int, from_rank long, to_rank long, first_sequence long, slot_offset long")
+    return spark.createDataFrame(rows, "length int, from_rank long, to_rank long, first_sequence long, times long, slot_offset long")
