@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import AddedToken, Tokenizer
 
 from tillmart.llm.binary_output import PerfectHash, lookup_ids, mix, read_digests, read_token_shards, write_token_shards
 from tillmart.llm.blocks import BATCH_BYTES, arrow_map, bounded
@@ -40,6 +41,30 @@ def test_ids_equal_the_library(coder):
             assert ids[at[i]:at[i + 1]].tolist() + [7] == plain_ids(coder, text, 7), repr(text)
 
 
+def test_added_tokens_keep_their_id():
+    fresh = Tokenizer.from_file(BYTE_BPE)
+    end = "<|endoftext|>"
+    rng = random.Random(8)
+    texts = [end, f"a{end}", f"{end} a", f"a \n{end}\n b", f"x  {end}  y", f"é{end}{end} z,", f"a\u00a0b {end} c d", "<|endoftext", f"{end[:-1]} {end}"]
+    texts += ["".join(rng.choices([end, "a", " ", "\n", "b,", "é", "<|", "|>", "1", "\u3000"], k=rng.randint(1, 30))) for _ in range(500)]
+    coder = Encoder(BYTE_BPE, most_units=40)
+    ids, at = coder.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == fresh.encode(text, add_special_tokens=False).ids, repr(text)
+    assert ids[:1].tolist() == [fresh.token_to_id(end)] and at[1] == 1
+
+
+@pytest.mark.parametrize("kind", [{"lstrip": True}, {"single_word": True}, {}])
+def test_other_added_tokens(tmp_path, kind):
+    fresh = Tokenizer.from_file(BYTE_BPE)
+    fresh.add_tokens([AddedToken("stop", normalized=False, **kind), AddedToken("stopgap", normalized=False, **kind)])
+    path = str(tmp_path / "v.json")
+    fresh.save(path)
+    texts = ["stop", " stop", "a  stop b", "a stopgap, stops unstoppable", "x\nstop\ny stop", "no"]
+    ids, at = Encoder(path).encode(pa.array(texts))
+    assert [ids[at[i]:at[i + 1]].tolist() for i in range(len(texts))] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_blocks_are_bounded():
     batch = pa.RecordBatch.from_arrays([pa.array(["aa", None, "bbb", "c" * 20, "", "d"])], ["text"])
     assert [b.num_rows for b in bounded([batch, batch.slice(0, 0)], "text", 5)] == [3, 1, 2]

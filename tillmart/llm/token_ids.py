@@ -2,10 +2,13 @@
 
 The vocabulary's pre-tokenizer always begins anew at a single blank or line feed between two
 other characters, after such a line feed, and at a sign after a letter. So a text is a sequence
-of units that begin there, and its ids are those of its units. Arrow finds the distinct units of
-a block of texts; the library encodes those that the worker hasn't met lately.
+of units that begin there, and its ids are those of its units. A token added to the vocabulary,
+such as <|endoftext|>, is a unit wherever a text holds it, and the text begins anew after it.
+Arrow finds the distinct units of a block of texts; the library encodes those that the worker
+hasn't met lately.
 """
 
+import re
 from itertools import repeat
 
 import numpy as np
@@ -51,8 +54,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.most_units = most_units
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        # The library takes the leftmost, of several there the longest; one that also takes what stands around it has its text left whole.
+        names = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
+        self.added_text = [name.decode() for name in names]
+        self.alone = not any(t.lstrip or t.rstrip or t.single_word for t in added)
         self.forget()
 
     def forget(self):
@@ -78,7 +86,8 @@ class Encoder:
         for unit in units:
             blank = unit[0] == " "
             word = unit[1:] if blank else unit
-            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            plain = word.isalpha() and not any(name in unit for name in self.added_text)
+            if plain and (word.isascii() or max(word) < "\u0250"):
                 word = word if word.isascii() else "".join(map(_AS_LETTER.__getitem__, word.encode()))
                 found = tokenize(_AS_LETTER[32] + word if blank else word)
                 known.append(unit)
@@ -119,8 +128,20 @@ class Encoder:
         before = np.concatenate([[0], np.cumsum(lengths)])
         return ids, before[np.searchsorted(offsets, bounds)]
 
-    @staticmethod
-    def _cuts(raw: np.ndarray, bounds: np.ndarray, texts: pa.Array) -> np.ndarray:
+    def _added(self, raw: np.ndarray, bounds: np.ndarray, texts: pa.Array) -> list[tuple[int, int, list]]:
+        """(begin, end, spans) of each text with added tokens: where it and they are."""
+        if self.added is None:
+            return []
+        held = np.zeros(len(texts), bool)
+        for name in self.added_text:
+            held |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
+        out = []
+        for i in np.flatnonzero(held):
+            a, b = int(bounds[i]), int(bounds[i + 1])
+            out.append((a, b, [(a + m.start(), a + m.end()) for m in self.added.finditer(raw[a:b].tobytes())]))
+        return out
+
+    def _cuts(self, raw: np.ndarray, bounds: np.ndarray, texts: pa.Array) -> np.ndarray:
         """Where units begin."""
         kind = _KIND[raw]
         # The second byte of a letter that Latin-1 has.
@@ -130,7 +151,10 @@ class Encoder:
         cut = np.zeros(len(raw), bool)
         lone = np.zeros(len(raw), bool)
         lone[1:-1] = blank[1:-1] & ~blank[:-2] & ~blank[2:]
-        fence = bounds[(bounds > 0) & (bounds < len(raw))]
+        added = self._added(raw, bounds, texts)
+        edges = [x for _, _, spans in added for span in spans for x in span] if self.alone else []
+        fence = np.union1d(bounds, np.array(edges, bounds.dtype))
+        fence = fence[(fence > 0) & (fence < len(raw))]
         lone[fence] = lone[fence - 1] = False
         feed = raw == 10
         cut |= lone & (feed | (raw == 32))
@@ -139,6 +163,9 @@ class Encoder:
         odd = pc.fill_null(pc.match_substring_regex(texts.cast(pa.large_string()), _OTHER_BLANKS), False)
         for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
             cut[bounds[i]:bounds[i + 1]] = False
+        for a, b, spans in added:
+            for begin, end in spans if self.alone else [(a, b)]:
+                cut[begin:end] = False
         cut[fence] = True
         cut[0] = True
         return cut
