@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from tillmart.llm.language_id import identify, learn, phrases, predict_languages, suffix_automaton, train
+from tillmart.llm.language_id import identify, learn, phrases, predict_languages, suffix_automaton, train, training_sample
 
 
 def brute_phrases(text, corpus, block=1024):
@@ -85,3 +85,17 @@ def test_empty(spark):
     only = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in predict_languages(only).collect()] == ["und"]
     assert identify(only.select("text"), train({"q": ["abc"]})).collect()[0]["lang_pred"] == "q"
+
+
+def test_sample_of_copies_is_neither_empty_nor_one_text(spark):
+    rng = random.Random(9)
+    texts = [words(rng, "abcdefgh", 400)[:1500] for _ in range(20)]
+    rows = [(i, texts[i % 20], "aa") for i in range(3000)] + [(i, texts[0][:700] + " x", "bb") for i in range(3000)]
+    rows += [(0, "k" * 3000 + "l" * 3000 + "m" * 3000, "long"), (1, None, "aa"), (2, " ", "none"), (3, "z", None)]
+    labelled = spark.createDataFrame(rows, "n long, text string, lang string").repartition(5)
+    got = training_sample(labelled, sample_chars=6000)
+    assert sorted(got) == ["aa", "bb", "long"]
+    assert len(got["aa"]) == len(set(got["aa"])) == 4 and len(got["bb"]) == 1
+    assert len(got["long"][0]) <= 2003 and min(got["long"][0].count(c) for c in "klm") >= 500
+    assert training_sample(labelled, sample_chars=6000) == got
+    assert learn(spark.createDataFrame([(i, texts[0], "aa") for i in range(300)], "doc_id long, text string, lang string"), 10).languages == ["aa"]

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.frames import named_columns, numbered_columns
+from tillmart.workspace import stage
 
 SAMPLE_CHARS = 25_000
 SAMPLE_DOCUMENT_CHARS = 2_000
+SLICES = 4
 ALPHABET = 60
 BLOCK_CHARS = 1024
 UNKNOWN = "und"
@@ -176,27 +178,54 @@ def _predict(model, keep_text):
 
 
 def training_sample(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, document_chars: int = SAMPLE_DOCUMENT_CHARS) -> dict:
-    """Beginnings of documents per language, up to about ``sample_chars`` characters of each.
-
-    ``labelled``: text and a language. Which documents are taken follows from hashes of their
-    texts, so equal tables give equal samples. One counting pass, then a pass that sends at most
-    about two samples per language to the driver.
+    """Pieces of documents per language, up to about ``sample_chars`` characters of each.
+
+    ``labelled``: text and a language. Equal texts of a language count once. The documents of the
+    least hashes are taken, as many as give ``sample_chars``, so equal tables give equal samples
+    and a language with a text has one. Of a text of over ``document_chars`` that many characters
+    are taken, in slices from its begin to its end. A pass hashes the texts; the hashes are
+    written. The driver gets about two samples' worth of hashes, and each text taken once: at most
+    ``sample_chars`` and one text's characters per language.
     """
-    known = labelled.where(F.col("lang").isNotNull() & (F.trim("text") != ""))
-    wanted = 2 * sample_chars
-    counts = known.groupBy("lang").agg(F.sum(F.least(F.length("text"), F.lit(document_chars))).alias("chars")).collect()
-    if not counts:
+    text = labelled.where(F.col("lang").isNotNull() & (F.trim("text") != "")).withColumn("hash", F.xxhash64("text"))
+    chars = F.least(F.length("text"), F.lit(document_chars)).cast("long").alias("chars")
+    keys = stage(text.select("lang", "hash", chars).groupBy("lang", "hash").agg(F.min("chars").alias("chars")), "text-hashes")
+    held = {r["lang"]: r["chars"] for r in keys.groupBy("lang").agg(F.sum("chars").alias("chars")).collect()}
+    share, found = {lang: min(1.0, 2 * sample_chars / n) for lang, n in held.items()}, {}
+    while share:
+        limits = [(lang, min(int(part * 2**64) - 2**63, 2**63 - 1)) for lang, part in share.items()]
+        limits = F.broadcast(labelled.sparkSession.createDataFrame(limits, "lang string, most long"))
+        near = {lang: [] for lang in share}
+        for r in keys.join(limits, "lang").where("hash <= most").select("lang", "hash", "chars").collect():
+            near[r["lang"]].append((r["hash"], r["chars"]))
+        short = {lang for lang, rows in near.items() if share[lang] < 1 and sum(n for _, n in rows) < sample_chars}
+        found |= {lang: sorted(rows) for lang, rows in near.items() if lang not in short}
+        share = {lang: min(1.0, 2 * share[lang]) for lang in short}
+    chosen = []
+    for lang, rows in found.items():
+        before = 0
+        for hash_, n in rows:
+            if before >= sample_chars:
+                break
+            chosen.append((lang, hash_))
+            before += n
+    if not chosen:
         return {}
-    limits = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, wanted / r["chars"]))])
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / float(1 << 40)
-    rows = known.withColumn("place", place).where(F.col("place") <= limits[F.col("lang")])
-    rows = rows.select("lang", "place", F.substring("text", 1, document_chars).alias("text")).collect()
+    taken = F.broadcast(labelled.sparkSession.createDataFrame(chosen, "lang string, hash long"))
+    rows = text.join(taken, ["lang", "hash"]).select("lang", "hash", _slices(F.col("text"), document_chars).alias("text"))
     out = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
+    for row in sorted(rows.groupBy("lang", "hash").agg(F.min("text").alias("text")).collect(), key=lambda r: (r["lang"], r["hash"])):
         out.setdefault(row["lang"], []).append(row["text"])
     return out
 
 
+def _slices(text, chars: int):
+    """The text, or of a longer one ``chars`` characters in slices at equal distances."""
+    each = max(chars // SLICES, 1)
+    starts = [((F.length(text) - each) * i / (SLICES - 1)).cast("int") + 1 for i in range(SLICES)]
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws("\n", *[text.substr(at, F.lit(each)) for at in starts]))
+
+
 def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, without its text unless it is to be kept.
 
