@@ -87,6 +87,22 @@ def test_empty(spark):
     assert identify(only.select("text"), train({"q": ["abc"]})).collect()[0]["lang_pred"] == "q"
 
 
+def test_letters_of_many_scripts_are_told_apart(spark):
+    rng = random.Random(7)
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyzàâçèéêëîïôùûœßäöüñ", "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    pools = {"la": latin, "ru": cyrillic, "bg": cyrillic, "zh": han, "ja": han}
+    vocab = {lang: ["".join(rng.choices(pool, k=rng.randint(2, 4))) for _ in range(700)] for lang, pool in pools.items()}
+    text = lambda lang, n: ("" if lang in ("zh", "ja") else " ").join(rng.choices(vocab[lang], k=n))
+    model = train({lang: [text(lang, 1500) for _ in range(5 if lang == "la" else 2)] for lang in pools})
+    assert model.languages == sorted(pools)
+    asked = [(lang, text(lang, 60)) for lang in pools for _ in range(5)]
+    out = identify(spark.createDataFrame(asked, "lang string, text string"), model).collect()
+    assert len(out) == 25 and all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in out)
+    # Letters that no sample has are phrases of one character.
+    assert phrases(["жжжж" * 10 + "ΩΩΩ"], train({"x": ["abc"]})).tolist() == [[43]]
+
+
 def test_sample_of_copies_is_neither_empty_nor_one_text(spark):
     rng = random.Random(9)
     texts = [words(rng, "abcdefgh", 400)[:1500] for _ in range(20)]

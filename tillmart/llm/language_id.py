@@ -7,7 +7,7 @@ without case, and whatever lies between words as one blank.
 """
 
 import unicodedata
-from collections import Counter, namedtuple
+from collections import namedtuple
 from functools import cache
 
 import numpy as np
@@ -22,26 +22,66 @@ from tillmart.workspace import stage
 SAMPLE_CHARS = 25_000
 SAMPLE_DOCUMENT_CHARS = 2_000
 SLICES = 4
-ALPHABET = 60
 BLOCK_CHARS = 1024
 UNKNOWN = "und"
 
 _OTHER, _BLANK = 0, 1
 
-#: languages: names; classes: of each code point (a blank if it belongs to no word, else _OTHER if too rare); next: (language, state, class) -> state or -1
-Model = namedtuple("Model", "languages classes next")
+#: languages: names; classes: of each code point (a blank if it belongs to no word, _OTHER if no language has it); first: (language, class) -> state or -1; automata: those of all languages, whose starts are in roots
+Model = namedtuple("Model", "languages classes first roots automata")
 
 
-def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions, -1 where there is none, of the smallest automaton of all substrings; state 0 is the start."""
-    size = 2 * max(len(codes), 1)
-    to, link, length = np.full((size, alphabet), -1, np.int32), [-1] * size, [0] * size
-    rows = [{}]
-    last, n = 0, 1
+class Transitions:
+    """Sparse transitions: a state's lie in one table, as far from its base as their class says, between those of others.
+
+    Bases are drawn at random until no two transitions share a cell, the states with most first.
+    """
+
+    def __init__(self, rows: list[dict[int, int]], alphabet: int):
+        count = np.array([len(row) for row in rows], np.int64)
+        owner = np.repeat(np.arange(len(rows)), count)
+        classes = np.fromiter((c for row in rows for c in row), np.int64, len(owner))
+        targets = np.fromiter((to for row in rows for to in row.values()), np.int64, len(owner))
+        most = 3 * len(owner) + 1
+        free, rng = np.ones(most + alphabet, bool), np.random.default_rng(1)
+        self.base = np.zeros(len(rows), np.int64)
+        ends = np.cumsum(count)
+        for state in sorted(np.flatnonzero(count > 8).tolist(), key=lambda s: -count[s]):
+            own, fits = classes[ends[state] - count[state]:ends[state]], np.zeros(0, bool)
+            while not fits.any():
+                tries = rng.integers(0, most, 64)
+                fits = free[tries[:, None] + own].all(1)
+            self.base[state] = tries[fits.argmax()]
+            free[self.base[state] + own] = False
+        left = np.flatnonzero(count[owner] <= 8)
+        while len(left):
+            self.base[owner[left]] = rng.integers(0, most, len(rows))[owner[left]]
+            where = self.base[owner[left]] + classes[left]
+            _, inverse, copies = np.unique(where, return_inverse=True, return_counts=True)
+            taken = ~free[where] | (copies[inverse] > 1)
+            again = np.bincount(owner[left], taken, len(rows))[owner[left]] > 0
+            free[where[~again]] = False
+            left = left[again]
+        # (state + 1) << 32 | target; a cell of no state is zero.
+        self.cells = np.zeros(most + alphabet, np.int64)
+        self.cells[self.base[owner] + classes] = (owner + 1) << 32 | targets
+
+    def __getitem__(self, at):
+        """-1 where there is no transition."""
+        state, c = at
+        cell = self.cells[self.base[state] + c]
+        return np.where(cell >> 32 == state + 1, cell & 0xFFFFFFFF, -1)
+
+
+def _automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Of each state its transitions; the smallest automaton of all substrings, state 0 is the start."""
+    rows, link, length = [{}], [-1], [0]
+    last = 0
     for c in codes:
-        cur, n = n, n + 1
+        cur = len(rows)
         rows.append({})
-        length[cur] = length[last] + 1
+        link.append(-1)
+        length.append(length[last] + 1)
         p = last
         while p >= 0 and c not in rows[p]:
             rows[p][c] = cur
@@ -53,37 +93,43 @@ def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone, n = n, n + 1
+                clone = len(rows)
                 rows.append(dict(rows[q]))
-                length[clone], link[clone] = length[p] + 1, link[q]
+                length.append(length[p] + 1)
+                link.append(link[q])
                 while p >= 0 and rows[p].get(c) == q:
                     rows[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    for state, row in enumerate(rows):
-        for c, target in row.items():
-            to[state, c] = target
-    return to[:n]
+    return rows
 
 
-def train(texts: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS, alphabet: int = ALPHABET) -> Model:
-    """From some labelled texts per language; the first ``sample_chars`` characters of each are used."""
+def suffix_automaton(codes: list[int], alphabet: int) -> Transitions:
+    """Transitions, -1 where there is none, of the smallest automaton of all substrings; state 0 is the start."""
+    return Transitions(_automaton(codes), alphabet)
+
+
+def train(texts: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> Model:
+    """From some labelled texts per language; the first ``sample_chars`` characters of each are used.
+
+    Every letter of these has a class of its own, in whatever script and of however many letters.
+    """
     texts = {lang: "\n".join(parts)[:sample_chars].lower() for lang, parts in sorted(texts.items())}
     of_words = letters() | _marks()
-    often = Counter(c for text in texts.values() for c in text if of_words[ord(c)])
-    chosen = [c for c, _ in sorted(often.items(), key=lambda x: (-x[1], x[0]))[:alphabet - 2]]
-    classes = np.where(of_words, _OTHER, _BLANK).astype(np.uint8)
+    chosen = sorted({c for text in texts.values() for c in text if of_words[ord(c)]})
+    classes = np.where(of_words, _OTHER, _BLANK).astype(np.int32)
     for i, c in enumerate(chosen, 2):
-        for form in {c, c.upper(), c.title()}:
-            if len(form) == 1:
-                classes[ord(form)] = i
-    joined = {lang: _classes_of([text], classes)[0].tolist() for lang, text in texts.items()}
-    tables = [suffix_automaton(codes, alphabet) for codes in joined.values()]
-    states = max((len(t) for t in tables), default=1)
-    return Model([*joined], classes, np.stack([
-        np.concatenate([t, np.full((states - len(t), alphabet), -1, np.int32)]) for t in tables
-    ]) if tables else np.zeros((0, 1, alphabet), np.int32))
+        for form in {c, *(f for f in (c.upper(), c.title()) if len(f) == 1 and f.lower() == c)}:
+            classes[ord(form)] = i
+    alphabet, rows, roots = len(chosen) + 2, [], []
+    first = np.full((len(texts), alphabet), -1, np.int64)
+    for k, text in enumerate(texts.values()):
+        start = len(rows)
+        roots.append(start)
+        rows += [{c: start + to for c, to in row.items()} for row in _automaton(_classes_of([text], classes)[0].tolist())]
+        first[k, [*rows[start]]] = [*rows[start].values()]
+    return Model([*texts], classes, first, np.array(roots, np.int64), Transitions(rows, alphabet))
 
 
 def _classes_of(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,24 +157,22 @@ def phrases(texts: list[str], model: Model, block: int = BLOCK_CHARS) -> np.ndar
     # Longest first: at each step the blocks that still have a character are the first ones.
     order = np.argsort(-size, kind="stable")
     start, size, owner = start[order], size[order], owner[order]
-    n_languages, n_states, width = model.next.shape
-    flat = model.next.reshape(-1)
-    root = (np.arange(n_languages) * n_states * width)[:, None].astype(np.int64)
-    state = np.zeros((n_languages, len(size)), np.int64)
+    n_languages = len(model.languages)
+    root = model.roots[:, None]
+    state = np.repeat(root, len(size), 1)
     total = np.zeros((n_languages, len(size)), np.int64)
     active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), "right")
     for i, n in enumerate(active.tolist()):
         c = codes[start[:n] + i]
-        to = flat[root + state[:, :n] * width + c]
+        to = model.automata[state[:, :n], c]
         ended = to < 0
         # A phrase ends before this character, if it had begun; the next begins with it.
-        total[:, :n] += ended & (state[:, :n] > 0)
-        begin = flat[root + c]
-        to = np.where(ended, begin, to)
+        total[:, :n] += ended & (state[:, :n] > root)
+        to = np.where(ended, model.first[:, c], to)
         lacking = to < 0
         total[:, :n] += lacking
-        state[:, :n] = np.where(lacking, 0, to)
-    total += state > 0
+        state[:, :n] = np.where(lacking, root, to)
+    total += state > root
     out = np.zeros((n_languages, len(texts)), np.int64)
     for k in range(n_languages):
         out[k] = np.bincount(owner, total[k], len(texts))
