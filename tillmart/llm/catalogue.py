@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillmart.llm import (
+    alignment,
     binary_output,
     decontamination,
     host_trust,
@@ -18,9 +19,10 @@ from tillmart.llm import (
 from tillmart.llm.oracle import ORACLE
 from tillmart.workspace import new_folder
 
-__all__ = ["BYTE_BPE", "ORACLE", "QUERIES", "table"]
+__all__ = ["BYTE_BPE", "ORACLE", "PIECES", "QUERIES", "table"]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark, sf_dir, name):
@@ -88,6 +90,11 @@ def op10_packing(spark, sf_dir):
     )
 
 
+def op12_alignment(spark, sf_dir):
+    """Tokens of two vocabularies over all documents."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -99,4 +106,5 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op12_alignment": op12_alignment,
 }
