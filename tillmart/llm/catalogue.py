@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tillmart.llm import (
     alignment,
     binary_output,
+    collocations,
     decontamination,
     host_trust,
     language_id,
@@ -15,6 +16,7 @@ from tillmart.llm import (
     preferences,
     quality_classifier,
     quality_rules,
+    vector_search,
 )
 from tillmart.llm.oracle import ORACLE
 from tillmart.workspace import new_folder
@@ -90,11 +92,21 @@ def op10_packing(spark, sf_dir):
     )
 
 
+def op11_top_k(spark, sf_dir):
+    """The ten best other vectors of every hundredth one, of all embeddings."""
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op12_alignment(spark, sf_dir):
     """Tokens of two vocabularies over all documents."""
     return alignment.align_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
 
 
+def op13_collocations(spark, sf_dir):
+    """The 2000 best phrases of each language of all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -106,5 +118,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_top_k": op11_top_k,
     "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }

@@ -120,8 +120,8 @@ _P = RISK / len(QUALITY_RULES)
 QUALITY = f"""
 with docs as (
   select row_number() over () as r, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t,
-         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\x0D]+') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\x0D]')) as lines
   from documents
 ),
 grams as (select r, i, array_to_string(w[i:i + 2], ' ') as g from docs, unnest(range(1, len(w) - 1)) as u(i) where len(w) >= 3),
@@ -160,9 +160,55 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        coalesce(failed_rules, '') as failed_rules
 from measures left join listed using (r)"""
 
+TOP_K = """
+with whole as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scores as (
+  select q.r, q.vec_id as query_id, c.vec_id, c.r as other, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from whole q join whole c on q.r <> c.r and q.vec_id % 100 = 0 and len(q.v) = len(c.v)
+)
+select query_id, cast(row_number() over (partition by r order by score desc, vec_id nulls last, other) as integer) as rank, vec_id, score
+from scores qualify rank <= 10"""
+
+COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+),
+runs as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as words from pieces),
+totals as (select lang, sum(len(words)) as n from runs group by lang),
+places as (select lang, words, size, unnest(range(1, len(words) - size + 2)) as i from runs, (select unnest(range(1, 6)) as size) where len(words) >= size),
+phrases as (
+  select lang, size, array_to_string(words[i:i + size - 1], ' ') as phrase, count(*) as f from places group by all having count(*) >= 100
+),
+cuts as (
+  select lang, phrase, f, size, unnest(range(1, size)) as k, string_split(phrase, ' ') as words from phrases where size > 1
+),
+scored as (
+  select c.lang, c.phrase, c.f as a, c.k, x.f as l, y.f as r, cast(n as bigint) as n,
+         cast(1000 * c.f::hugeint * n::hugeint // (x.f::hugeint * y.f::hugeint) as bigint) as score
+  from cuts c join totals using (lang)
+  join phrases x on x.lang = c.lang and x.phrase = array_to_string(c.words[1:k], ' ')
+  join phrases y on y.lang = c.lang and y.phrase = array_to_string(c.words[k + 1:], ' ')
+),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+left_over as (
+  select * from lowest s where not exists (
+    select 1 from phrases p where p.lang = s.lang and p.size > len(string_split(s.phrase, ' ')) and p.f >= s.a
+      and contains(' ' || p.phrase || ' ', ' ' || s.phrase || ' '))
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from left_over qualify rank <= 2000"""
+
 ORACLE = {
     "op6_quality_rules": QUALITY,
     "op2_decontamination": DECONTAMINATION,
     "op4_url_trust": URL_TRUST,
     "op7_preferences": PREFERENCES,
+    "op11_top_k": TOP_K,
+    "op13_collocations": COLLOCATIONS,
 }
