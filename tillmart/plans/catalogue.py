@@ -166,16 +166,22 @@ def _order_files(spark, sf_dir):
 
 
 def _order_ledger(spark, sf_dir):
-    """Two thirds of the orders, opened at the order date; filled ones are finished, partly filled ones rejected."""
-    files = _order_files(spark, sf_dir).where("o_orderkey % 3 <> 0")
+    """All orders but those of low priority, opened at the order date; filled ones are finished, partly filled ones rejected."""
+    files = _order_files(spark, sf_dir).where("o_orderpriority <> '5-LOW'")
     opened = ledger_open(files, F.col("mtime"))
     closed = ledger_close(opened, files.where("o_orderstatus = 'F'"), NOW)
     return opened.unionByName(closed).unionByName(ledger_reject(files.where("o_orderstatus = 'P'"), NOW))
 
 
 def _listed_orders(spark, sf_dir):
-    """A seventh of the orders, most of them in the ledger."""
-    return _order_files(spark, sf_dir).where("o_orderkey % 7 = 0")
+    """The files of all orders as they lie there now: urgent ones delivered again a day later, those
+    without a priority under another name."""
+    renamed, urgent = (F.col("o_orderpriority") == p for p in ("4-NOT SPECIFIED", "1-URGENT"))
+    again = F.regexp_replace("path", "([^/]+)$", "late-$1")
+    return _order_files(spark, sf_dir).withColumns({
+        "path": F.when(renamed, again).otherwise(F.col("path")),
+        "mtime": F.when(urgent, F.expr("mtime + interval 1 day")).otherwise(F.col("mtime")),
+    }).withColumn("file_name", base_name("path"))
 
 
 def ledger_state_query(spark, sf_dir):
@@ -188,10 +194,8 @@ def ledger_in_flight_query(spark, sf_dir):
 
 
 def pending_files_query(spark, sf_dir):
-    """Urgent files have been delivered again since, so they are pending whatever their status."""
-    again = F.when(F.col("o_orderpriority") == "1-URGENT", F.expr("mtime + interval 1 day")).otherwise(F.col("mtime"))
-    listed = _listed_orders(spark, sf_dir).withColumn("mtime", again)
-    return pending_files(listed, _order_ledger(spark, sf_dir)).select("path", "file_name")
+    """New, renamed and open files, and those delivered again since, whatever their status was."""
+    return pending_files(_listed_orders(spark, sf_dir), _order_ledger(spark, sf_dir)).select("path", "file_name")
 
 
 def partitioned_mart_roundtrip(spark, sf_dir):

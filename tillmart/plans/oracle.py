@@ -74,8 +74,13 @@ files as (
          o_orderdate as mtime, o_orderkey, o_orderstatus, o_orderpriority
   from orders
 ),
-listed as (select * from files where o_orderkey % 7 = 0),
-entered as (select * from files where o_orderkey % 3 <> 0),
+listed as (
+  select 'drops/' || o_orderkey || '/' || case when o_orderpriority = '4-NOT SPECIFIED' then 'late-' else '' end || file_name as path,
+         case when o_orderpriority = '4-NOT SPECIFIED' then 'late-' else '' end || file_name as file_name,
+         case when o_orderpriority = '1-URGENT' then mtime + interval 1 day else mtime end as mtime
+  from files
+),
+entered as (select * from files where o_orderpriority <> '5-LOW'),
 events as (
   select path, file_name, mtime, mtime as created_date, null as updated_date, 'A' as status from entered
   union all
@@ -184,13 +189,10 @@ with {_LEDGER}
 select distinct file_name from state
 where status = 'A' and file_name in (select file_name from listed)""",
     "pending_files": f"""
-with {_LEDGER}, again as (
-  select path, file_name, case when o_orderpriority = '1-URGENT' then mtime + interval 1 day else mtime end as mtime
-  from listed
-)
-select path, file_name from again
+with {_LEDGER}
+select path, file_name from listed
 where not exists (select 1 from state where state.status in ('I', 'R')
-                  and state.file_location = again.path and state.file_mtime = again.mtime)""",
+                  and state.file_location = listed.path and state.file_mtime = listed.mtime)""",
     "partitioned_mart_roundtrip": f"""
 with {_ENRICHED}
 select sales_month, store_id, count(*) as n_rows, cast(sum(total_cost) as double) as total_sales
