@@ -51,10 +51,10 @@ def brute(texts):
         of_b = [k for k, x in enumerate(b_bytes) for _ in x]
         links = sorted({*zip(of_a, of_b)})
         groups = None
-        if len(a) < 3000:
+        if len(a) < 100_000:
             groups, begin = [], 0
             for end in sorted({*accumulate(map(len, a_bytes))} & {*accumulate(map(len, b_bytes))}):
-                groups.append(",".join(str(a[i]) for i in sorted({*of_a[begin:end]})) + "|" + ",".join(str(b[i]) for i in sorted({*of_b[begin:end]})))
+                groups.append("|".join(",".join(str(side[i]) for i in sorted({*of[begin:end]})) for side, of in ((a, of_a), (b, of_b))))
                 begin = end
         out.append(([(a[i], b[j]) for i, j in links], groups, len(a), len(b)))
     return out

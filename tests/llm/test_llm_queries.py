@@ -12,10 +12,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import functions as F
+from test_alignment import expected as brute_alignment
+from test_collocations import brute as brute_collocations
 from test_decontamination import brute as brute_passages
 from test_licenses import brute as brute_licenses
 from test_near_duplicates import brute_groups, plain_print
 from test_quality_rules import brute as brute_measures
+from test_vector_search import brute as brute_top_k
 
 from __spark_entry__ import queries
 from corpus_pipeline import STAGES
@@ -32,7 +35,7 @@ def docs(spark):
 
 
 def test_every_query_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries())
 
 
@@ -85,6 +88,21 @@ def test_simhash(spark, docs):
     assert sorted(tuple(r) for r in QUERIES["op9_simhash"](spark, SF_DIR).collect()) == want
 
 
+def test_top_k(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    assert sorted(map(tuple, QUERIES["op11_top_k"](spark, SF_DIR).collect()), key=repr) == brute_top_k(rows)
+
+
+def test_alignment(spark, docs):
+    ids, texts = zip(*docs)
+    assert sorted(map(tuple, QUERIES["op12_alignment"](spark, SF_DIR).collect())) == sorted(brute_alignment(ids, texts))
+
+
+def test_collocations(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("lang", "text").collect()]
+    assert sorted(map(tuple, QUERIES["op13_collocations"](spark, SF_DIR).collect())) == brute_collocations(rows, 2000, 100)
+
+
 def test_classifier_and_languages_on_held_out_documents(spark, docs):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
     judged = [r for r in QUERIES["op1_quality"](spark, SF_DIR).collect() if r["doc_id"] in labels]
