@@ -4,7 +4,20 @@ import zlib
 
 import numpy as np
 
-from tillmart.llm.language_id import identify, learn, phrases, predict_languages, suffix_automaton, train, training_sample
+from tillmart.llm.language_id import (
+    FEWEST_BACKWARDS,
+    backwards,
+    identify,
+    keep_identified,
+    learn,
+    learn_bounded,
+    order_bounds,
+    phrases,
+    predict_languages,
+    suffix_automaton,
+    train,
+    training_sample,
+)
 
 
 def brute_phrases(text, corpus, block=1024):
@@ -115,3 +128,35 @@ def test_sample_of_copies_is_neither_empty_nor_one_text(spark):
     assert len(got["long"][0]) <= 2003 and min(got["long"][0].count(c) for c in "klm") >= 500
     assert training_sample(labelled, sample_chars=6000) == got
     assert learn(spark.createDataFrame([(i, texts[0], "aa") for i in range(300)], "doc_id long, text string, lang string"), 10).languages == ["aa"]
+
+
+def test_letters_in_no_learned_order_are_rejected(spark):
+    rng = random.Random(11)
+    vocab = {lang: ["".join(rng.choices(letters, k=rng.randint(2, 6))) for _ in range(300)] for lang, letters in (("aa", "abcdefghi"), ("bb", "defghijklm"))}
+    text = lambda lang, n: " ".join(rng.choices(vocab[lang], k=n))
+    noise = lambda n: "".join(rng.choices("abcdefghijklm   ", k=n))
+    rows = [(i, text(lang, 150), lang, i, "x") for i, lang in enumerate(["aa", "bb"] * 90)]
+    rows += [(1000 + i, noise(600), None, i, "x") for i in range(8)] + [(2000, noise(8), None, 0, "x"), (2001, "хорошая погода " * 30, None, 0, "x")]
+    rows += [(2002, None, "aa", 0, "x"), (2003, "12 34", "aa", 0, "x"), (None, text("bb", 80), None, None, None), (0, rows[0][1], "aa", 0, "x"), (2004, text("aa", 4000), None, 0, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score long, lang_pred string").repartition(4)
+    model, bounds = learn_bounded(docs)
+    assert model.languages == ["aa", "bb"] and (bounds > 0.5).all() and (bounds < 1).all()
+    kept = keep_identified(docs)
+    assert kept.columns == docs.columns
+    strange = {*range(1000, 1008), 2001, 2002, 2003}
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if r["doc_id"] not in strange)
+    assert {r["doc_id"] for r in keep_identified(docs, accepted=["bb"]).collect()} <= {r[0] for r in rows if r[2] != "aa"}
+
+
+def test_bounds_of_orders():
+    rng = random.Random(12)
+    vocab = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(200)]
+    text = lambda n: " ".join(rng.choices(vocab, k=n))
+    model = train({"x": [text(3000)], "y": ["zyxw " * 50]})
+    own = [text(100) for _ in range(9)]
+    need = phrases(own, model)
+    back = backwards(own, model, need)
+    assert back.tolist() == [phrases([t[::-1]], model)[0, 0] for t in own] and (back > need[:, 0]).all()
+    bounds = order_bounds({"x": own, "y": ["zy"]}, model)
+    assert bounds[0] == (2 + np.median(need[:, 0] / back)) / 3 and bounds[1] == np.inf
+    assert order_bounds({}, model).tolist() == [np.inf, np.inf] and FEWEST_BACKWARDS > 1

@@ -23,6 +23,7 @@ from test_vector_search import brute as brute_top_k
 from __spark_entry__ import queries
 from corpus_pipeline import STAGES
 from tillmart.llm.catalogue import BYTE_BPE, QUERIES
+from tillmart.llm.language_id import FEWEST_BACKWARDS, learn_bounded, phrases
 from tillmart.llm.token_ids import Encoder
 
 SF_DIR = os.environ.get("TILLMART_TESTDATA", "/root/testdata/sf0.001")
@@ -119,6 +120,7 @@ def test_stages_of_the_pipeline(spark, docs, tmp_path):
     now = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for name, stage in STAGES:
         before = {r["doc_id"]: r["text"] for r in now.select("doc_id", "text").collect()}
+        learned = now
         stage(spark, now, SF_DIR).write.parquet(str(tmp_path / name))
         now = spark.read.parquet(str(tmp_path / name))
         if name == "packing":
@@ -131,7 +133,13 @@ def test_stages_of_the_pipeline(spark, docs, tmp_path):
             bad = {r["doc_id"] for r in QUERIES["op1_quality"](spark, SF_DIR).where("not kept").select("doc_id").collect()}
             assert set(before) - set(after) == bad
         elif name == "language":
-            assert set(after) == {d for d, t in before.items() if t and any(c.isalpha() for c in t)}
+            lettered = {d: t for d, t in before.items() if t and any(c.isalpha() for c in t)}
+            model, bounds = learn_bounded(learned)
+            need = {d: phrases([t], model)[0] for d, t in lettered.items()}
+            back = {d: phrases([t[::-1]], model)[0] for d, t in lettered.items()}
+            best = {d: n.argmin() for d, n in need.items()}
+            strange = {d for d, k in best.items() if back[d][k] >= FEWEST_BACKWARDS and need[d][k] > bounds[k] * back[d][k]}
+            assert (bounds < 1).all() and set(after) == set(lettered) - strange and len(strange) < 0.02 * len(before)
         elif name == "near_duplicates":
             prints = {d: plain_print(t) for d, t in before.items()}
             group = brute_groups(set(prints.values()))

@@ -4,6 +4,9 @@ For each language a suffix automaton of labelled text accepts every substring of
 is cut from left to right into the longest phrases that the automaton accepts; a character it
 lacks is a phrase of its own. Phrases per character estimate the cross entropy. Letters count
 without case, and whatever lies between words as one blank.
+
+Text in a language that was learned needs fewer phrases than the same letters backwards; letters in
+no learned order, noise or another language, need about as many either way.
 """
 
 import unicodedata
@@ -24,6 +27,8 @@ SAMPLE_DOCUMENT_CHARS = 2_000
 SLICES = 4
 BLOCK_CHARS = 1024
 UNKNOWN = "und"
+#: Texts that take fewer phrases backwards are too short to tell whether their letters are in order.
+FEWEST_BACKWARDS = 20
 
 _OTHER, _BLANK = 0, 1
 
@@ -191,9 +196,34 @@ def _marks() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)])
 
 
+def backwards(texts: list[str], model: Model, need: np.ndarray) -> np.ndarray:
+    """How many phrases each text takes from its end to its begin in its best language. ``need``: (text, language)."""
+    best, out = need.argmin(1), np.zeros(len(texts), np.int64)
+    for k in np.unique(best).tolist():
+        at = np.flatnonzero(best == k)
+        own = model._replace(languages=[model.languages[k]], first=model.first[k:k + 1], roots=model.roots[k:k + 1])
+        out[at] = phrases([texts[i][::-1] for i in at], own)[:, 0]
+    return out
+
+
+def order_bounds(texts: dict[str, list[str]], model: Model) -> np.ndarray:
+    """Per language the part of its phrases backwards that a text in it may take: two thirds of the way
+    from the median of the given texts to one, so that labels that are wrong now and then don't
+    matter. Infinite if no text of a language is long enough to tell."""
+    bounds = np.full(len(model.languages), np.inf)
+    for k, lang in enumerate(model.languages):
+        if own := texts.get(lang):
+            need = phrases(own, model)
+            back = backwards(own, model, need)
+            told = (need.argmin(1) == k) & (back >= FEWEST_BACKWARDS)
+            if told.any():
+                bounds[k] = (2 + np.median(need.min(1)[told] / back[told])) / 3
+    return bounds
+
+
 def _predict(model, keep_text):
     def predict(batches):
-        is_letter, m = letters(), model.value
+        is_letter, (m, bounds) = letters(), model.value
         names = np.array([*m.languages, UNKNOWN], object)
         for batch in bounded(batches, "text", 1024 * 1024):
             texts = plain_text(batch.column("text")).to_pylist()
@@ -204,7 +234,8 @@ def _predict(model, keep_text):
             known = (seen[ends] > seen[ends - lengths]) & (len(m.languages) > 0)
             best, score = np.full(len(texts), len(m.languages)), np.zeros(len(texts))
             if known.any():
-                need = phrases([t for t, k in zip(texts, known) if k], m)
+                lettered = [t for t, k in zip(texts, known) if k]
+                need = phrases(lettered, m)
                 rows = np.arange(len(need))
                 first = need.argmin(1)
                 best[known] = first
@@ -213,6 +244,10 @@ def _predict(model, keep_text):
                 rest[rows, first] = np.iinfo(np.int64).max
                 second = rest.min(1) if need.shape[1] > 1 else np.full(len(need), np.iinfo(np.int64).max)
                 score[known] = 1 - least / (least + second.astype(float))
+                if bounds is not None:
+                    back = backwards(lettered, m, need)
+                    strange = np.flatnonzero(known)[(back >= FEWEST_BACKWARDS) & (least > bounds[first] * back)]
+                    best[strange], score[strange] = len(m.languages), 0
             columns = dict(zip(batch.schema.names, batch.columns))
             if not keep_text:
                 del columns["text"]
@@ -270,15 +305,16 @@ def _slices(text, chars: int):
     return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws("\n", *[text.substr(at, F.lit(each)) for at in starts]))
 
 
-def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep_text: bool = False, bounds: np.ndarray | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, without its text unless it is to be kept.
 
     score: second-best phrases over those of the two best, from 0.5 (a tie, taken by the first
     name) to 1. A null text or one without a letter is ``und`` with score 0, as is every text if
-    no language was learned. A column of ``docs`` named lang_pred or score is replaced.
+    no language was learned and, given ``bounds``, one that takes more than that part of the phrases
+    it takes backwards. A column of ``docs`` named lang_pred or score is replaced.
     """
     docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, bounds))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != "text")
     return arrow_map(docs, _predict(shared, keep_text), f"{kinds}{', ' if kinds else ''}lang_pred string, score double")
 
@@ -293,6 +329,13 @@ def learn(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> Model:
     return train(training_sample(docs.where(fold() != 1).select("text", "lang"), sample_chars), sample_chars)
 
 
+def learn_bounded(docs: DataFrame, sample_chars: int = SAMPLE_CHARS) -> tuple[Model, np.ndarray]:
+    """Model and order bounds, each from half of the texts of a sample twice as large, of the same rows."""
+    texts = training_sample(docs.where(fold() != 1).select("text", "lang"), 2 * sample_chars)
+    model = train({lang: own[::2] for lang, own in texts.items()}, sample_chars)
+    return model, order_bounds({lang: own[1::2] for lang, own in texts.items()}, model)
+
+
 def predict_languages(docs: DataFrame, model: Model | None = None, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row of ``docs`` (doc_id, text, lang).
 
@@ -304,12 +347,19 @@ def predict_languages(docs: DataFrame, model: Model | None = None, sample_chars:
     return identify(rows, model)
 
 
-def keep_identified(docs: DataFrame, model: Model | None = None, accepted: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs`` whose language is known and, if languages are given, one of them."""
-    model = model or learn(docs)
+def keep_identified(
+    docs: DataFrame, model: Model | None = None, accepted: list[str] | None = None, bounds: np.ndarray | None = None
+) -> DataFrame:
+    """The rows of ``docs`` in a language that was learned and, if languages are given, in one of them.
+
+    Null texts go, those without a letter and, by the ``bounds`` learned unless a model is given, those whose
+    letters are in no order that their best language has.
+    """
+    if model is None:
+        model, bounds = learn_bounded(docs)
     inner, names = numbered_columns(docs)
     text = names["text"]
-    judged = identify(inner.withColumnRenamed(text, "text"), model, keep_text=True).withColumnRenamed("text", text)
+    judged = identify(inner.withColumnRenamed(text, "text"), model, True, bounds).withColumnRenamed("text", text)
     wanted = F.col("lang_pred") != UNKNOWN
     if accepted is not None:
         wanted &= F.col("lang_pred").isin(accepted)
