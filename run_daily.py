@@ -31,6 +31,7 @@ def arguments():
     parser.add_argument("--read-partitions", type=int, default=16, help="connections per table read")
     parser.add_argument("--fetch-size", type=int, default=10_000, help="rows a connection holds at a time")
     parser.add_argument("--by-scan", action="store_true", help="read headers through Spark, for storage that only Spark reaches")
+    parser.add_argument("--months", metavar="NAME", help="folder below the output for months computed anew from all batches")
     parser.add_argument("--resume", action="store_true", help="go on although an earlier run did not finish")
     return parser.parse_args()
 
@@ -47,7 +48,7 @@ def main():
         jdbc_url=args.jdbc_url, jdbc_properties=properties,
         customer_partition_column=args.customer_partition_column,
         store_partition_column=args.store_partition_column, sales_team_partition_column=args.sales_team_partition_column,
-        read_partitions=args.read_partitions, fetch_size=args.fetch_size, by_scan=args.by_scan, resume=args.resume,
+        read_partitions=args.read_partitions, fetch_size=args.fetch_size, by_scan=args.by_scan, months_dir=args.months, resume=args.resume,
     )
     spark = SparkSession.builder.appName("sales-marts").getOrCreate()
     report = run(spark, config, datetime.now(timezone.utc))

@@ -5,7 +5,7 @@ that both engines hash the same values.
 """
 
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ from tillmart.operators import (
 from tillmart.operators.marts import salesperson_incentives, salesperson_totals, store_months_fit
 from tillmart.plans import deliveries, retail_tables
 from tillmart.plans.daily import DailyConfig, open_batch, run
+from tillmart.plans.months import rebuild_months, touched_months
 from tillmart.sinks import JdbcSink, snapshot_path, write_parquet
 from tillmart.sources import JdbcSource, file_inventory, read_drops, validate_headers
 from tillmart.sources.drops import COUNTS
@@ -220,6 +221,26 @@ def snapshot_roundtrip(spark, sf_dir):
     return _plain(spark.read.parquet(folder))
 
 
+def _late_batches(spark, sf_dir):
+    """Marts of months built after a first batch, and again after one with the late sales of half the months."""
+    folder = new_folder(spark, "late-batches")
+    enriched = stage(_enriched(spark, sf_dir), "enriched")
+    late = (F.dayofmonth("sales_date") > 20) & (F.month("sales_date") > 6)
+    for batch, now in ((enriched.where(~late), NOW), (enriched.where(late), NOW + timedelta(days=1))):
+        write_parquet(customer_wide(batch), snapshot_path(f"{folder}/customers-wide", now))
+        write_parquet(sales_wide(batch), snapshot_path(f"{folder}/sales-wide", now))
+        built = rebuild_months(spark, f"{folder}/customers-wide", f"{folder}/sales-wide", f"{folder}/months", touched_months(batch))
+    return built
+
+
+def rebuilt_customer_months(spark, sf_dir):
+    return _plain(spark.read.parquet(_late_batches(spark, sf_dir)[0]))
+
+
+def rebuilt_salesperson_months(spark, sf_dir):
+    return _plain(spark.read.parquet(_late_batches(spark, sf_dir)[1]))
+
+
 def _database(spark: SparkSession) -> str:
     """The database to use: ``spark.tillmart.jdbc.url``, or an embedded one of this process.
 
@@ -292,6 +313,8 @@ QUERIES = {
     "pending_files": pending_files_query,
     "partitioned_mart_roundtrip": partitioned_mart_roundtrip,
     "snapshot_roundtrip": snapshot_roundtrip,
+    "rebuilt_customer_months": rebuilt_customer_months,
+    "rebuilt_salesperson_months": rebuilt_salesperson_months,
     "jdbc_roundtrip": jdbc_roundtrip,
     "daily_run": daily_run,
 }

@@ -202,6 +202,12 @@ with {_ENRICHED}
 select customer_id, first_name, last_name, address, pincode, phone_number,
        cast(sales_date as varchar) as sales_date, cast(total_cost as double) as total_cost
 from enriched""",
+    "rebuilt_customer_months": _CUSTOMER_MONTH,
+    "rebuilt_salesperson_months": f"""
+with {_TOTALS}
+select store_id, sales_person_id, full_name, sales_month,
+       cast(total_sales as double) as total_sales, {_INCENTIVE}
+from ranked""",
     "jdbc_roundtrip": f"""
 select * replace (sales_date_month || '-01' as sales_date_month) from ({_CUSTOMER_MONTH})""",
     "daily_run": f"""
