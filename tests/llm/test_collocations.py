@@ -4,9 +4,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tillmart.llm.collocations import collocations, settle, words_of
+from tillmart.llm.collocations import collocations, frequent_words, number_words, settle, word_blocks, words_of
 
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
@@ -107,3 +109,21 @@ def test_very_long_text_in_blocks(spark):
     text = "alpha beta gamma. delta alpha beta\n" * 150_000
     assert len(text) > 4 * 1024 * 1024
     assert run(spark, [("en", text)]) == brute([("en", text)], 2000, 100)
+
+
+def test_words_are_numbered_alike_whether_broadcast_or_shuffled(spark):
+    docs = spark.createDataFrame(corpus(300, seed=2), "lang string, text string").repartition(4)
+    blocks = word_blocks(docs)
+    counts = blocks.select("lang", F.explode(F.arrays_zip("words", "times")).alias("x")).groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.times").alias("f"))
+    words = frequent_words(counts, 5)
+    assert sorted(r["id"] for r in words.collect()) == list(range(1, words.count() + 1))
+    spelled = []
+    for bound in (1 << 25, 0):
+        name = {r["id"]: (r["word"], r["f"]) for r in words.collect()}
+        found = []
+        for r in number_words(blocks, words, bound).collect():
+            ids, f = np.frombuffer(r["ids"], "<u4").tolist(), np.frombuffer(r["f"], "<i8").tolist()
+            assert all(name[i][1] == n for i, n in zip(ids[1:], f[1:]))
+            found.append((r["lang"], [name[ids[c]][0] if c else None for c in np.frombuffer(r["codes"], "<u2").tolist()]))
+        spelled.append(sorted(map(repr, found)))
+    assert spelled[0] == spelled[1]

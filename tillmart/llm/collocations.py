@@ -27,6 +27,7 @@ UNKNOWN = "und"
 #: part of all frequent words' places that the first wave's words, the rarest, may take
 FIRST_WAVE = 0.5
 BLOCK_BYTES = 4 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 _PENDING = 4_000_000
 _LEAST_BITS, _MOST_BITS = 16, 27
 _KEYS = ["k1", "k2", "k3"]
@@ -116,25 +117,32 @@ def frequent_words(counts: DataFrame, least: int) -> DataFrame:
 
 def _renumber(batches):
     for batch in batches:
-        for r in batch.to_pylist():
-            new = np.zeros(r["n_words"] + 1, np.int64)
-            ids, f = np.zeros(len(r["known"]) + 1, "<u4"), np.zeros(len(r["known"]) + 1, "<i8")
-            for i, (at, id_, times) in enumerate(((k["at"], k["id"], k["f"]) for k in r["known"]), 1):
-                new[at + 1], ids[i], f[i] = i, id_, times
-            codes = new[np.frombuffer(r["codes"], _numbers(r["n_words"] + 1))]
+        # Words known to a row, column by column.
+        known = batch.column("known")
+        ends = known.offsets.to_numpy()
+        at, ids_of, f_of = (known.values.field(name).to_numpy() for name in ("at", "id", "f"))
+        sizes, langs, texts = batch.column("n_words").to_numpy(), batch.column("lang").to_pylist(), batch.column("codes")
+        for i, (begin, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            new = np.zeros(sizes[i] + 1, np.int64)
+            new[at[begin:end] + 1] = np.arange(1, end - begin + 1)
+            ids, f = (np.concatenate([[0], x[begin:end]]).astype(kind) for x, kind in ((ids_of, "<u4"), (f_of, "<i8")))
+            codes = new[np.frombuffer(texts[i].as_buffer(), _numbers(int(sizes[i]) + 1))]
             # Of breaks in a row, and words with a break on both sides, one break is left.
             padded = np.concatenate([[0], codes, [0]]) > 0
             codes = np.where(padded[:-2] | padded[2:], codes, 0)
             codes = codes[(codes > 0) | np.concatenate([[False], codes[:-1] > 0])]
             if len(codes):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["lang"]]), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, f, codes.astype(_numbers(len(ids)))))],
+                    [pa.array([langs[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, f, codes.astype(_numbers(len(ids)))))],
                     ["lang", "ids", "f", "codes"])
         give_back()
 
 
-def number_words(blocks: DataFrame, words: DataFrame) -> DataFrame:
+def number_words(blocks: DataFrame, words: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The blocks in numbers of frequent words, written; other words are breaks, as no phrase holds one."""
+    # While the frequent words are few enough to be sent to all tasks, only those are shuffled.
+    size = words.agg(F.sum(F.octet_length("word") + F.octet_length("lang") + 64)).first()[0] or 0
+    words = F.broadcast(words) if size <= broadcast_bytes else words
     seen = blocks.select("block", "lang", F.posexplode("words").alias("at", "word")).join(words, ["lang", "word"])
     known = seen.groupBy("block").agg(F.collect_list(F.struct("at", "id", "f")).alias("known"))
     rows = blocks.select("block", "lang", F.size("words").alias("n_words"), "codes").join(known, "block").drop("block")
