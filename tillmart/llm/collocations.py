@@ -15,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,38 +116,68 @@ def frequent_words(counts: DataFrame, least: int) -> DataFrame:
     return stage(rows.join(F.broadcast(offsets), "part").select("lang", "word", "f", id_), "word-ids")
 
 
+def _recoded(lang, n_words, codes, at, ids, f):
+    """A block in the numbers 1, 2, ... of its words ``at``, whose ids and frequencies are given."""
+    new = np.zeros(n_words + 1, np.int64)
+    new[at + 1] = np.arange(1, len(at) + 1)
+    codes = new[np.frombuffer(codes, _numbers(n_words + 1))]
+    # Of breaks in a row, and words with a break on both sides, one break is left.
+    padded = np.concatenate([[0], codes, [0]]) > 0
+    codes = np.where(padded[:-2] | padded[2:], codes, 0)
+    codes = codes[(codes > 0) | np.concatenate([[False], codes[:-1] > 0])]
+    columns = [np.concatenate([[0], x]).astype(kind) for x, kind in ((ids, "<u4"), (f, "<i8"))]
+    columns.append(codes.astype(_numbers(len(ids) + 1)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang]), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], ["lang", "ids", "f", "codes"])
+
+
 def _renumber(batches):
+    """Blocks that bring what is known of their words."""
     for batch in batches:
-        # Words known to a row, column by column.
         known = batch.column("known")
         ends = known.offsets.to_numpy()
-        at, ids_of, f_of = (known.values.field(name).to_numpy() for name in ("at", "id", "f"))
-        sizes, langs, texts = batch.column("n_words").to_numpy(), batch.column("lang").to_pylist(), batch.column("codes")
+        of_word = [known.values.field(name).to_numpy() for name in ("at", "id", "f")]
+        sizes, langs, codes = batch.column("n_words").to_pylist(), batch.column("lang").to_pylist(), batch.column("codes")
         for i, (begin, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-            new = np.zeros(sizes[i] + 1, np.int64)
-            new[at[begin:end] + 1] = np.arange(1, end - begin + 1)
-            ids, f = (np.concatenate([[0], x[begin:end]]).astype(kind) for x, kind in ((ids_of, "<u4"), (f_of, "<i8")))
-            codes = new[np.frombuffer(texts[i].as_buffer(), _numbers(int(sizes[i]) + 1))]
-            # Of breaks in a row, and words with a break on both sides, one break is left.
-            padded = np.concatenate([[0], codes, [0]]) > 0
-            codes = np.where(padded[:-2] | padded[2:], codes, 0)
-            codes = codes[(codes > 0) | np.concatenate([[False], codes[:-1] > 0])]
-            if len(codes):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([langs[i]]), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, f, codes.astype(_numbers(len(ids)))))],
-                    ["lang", "ids", "f", "codes"])
+            yield _recoded(langs[i], sizes[i], codes[i].as_buffer(), *(x[begin:end] for x in of_word))
         give_back()
 
 
+def _look_up(shared):
+    """shared: language -> (frequent words, their ids and frequencies)"""
+    def look_up(batches):
+        for batch in batches:
+            langs, words, codes = batch.column("lang").to_pylist(), batch.column("words"), batch.column("codes")
+            for i, lang in enumerate(langs):
+                if lang in shared.value:
+                    frequent, ids, f = shared.value[lang]
+                    own = words[i].values.cast(frequent.type)
+                    found = pc.index_in(own, value_set=frequent).fill_null(-1).to_numpy()
+                    at = np.flatnonzero(found >= 0)
+                    yield _recoded(lang, len(own), codes[i].as_buffer(), at, ids[found[at]], f[found[at]])
+            give_back()
+    return look_up
+
+
 def number_words(blocks: DataFrame, words: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The blocks in numbers of frequent words, written; other words are breaks, as no phrase holds one."""
-    # While the frequent words are few enough to be sent to all tasks, only those are shuffled.
-    size = words.agg(F.sum(F.octet_length("word") + F.octet_length("lang") + 64)).first()[0] or 0
-    words = F.broadcast(words) if size <= broadcast_bytes else words
+    """The blocks in numbers of frequent words, written; other words are breaks, as no phrase holds one.
+
+    Up to ``broadcast_bytes`` of frequent words go to all tasks; beyond that the words of each block are joined with them.
+    """
+    schema = "lang string, ids binary, f binary, codes binary"
+    size = words.agg(F.sum(F.octet_length("word") + F.octet_length("lang") + 32)).first()[0] or 0
+    if size <= broadcast_bytes:
+        table, of_lang = words.select("lang", "word", "id", "f").toArrow().combine_chunks(), {}
+        for lang in table.column("lang").unique().to_pylist():
+            own = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+            word = own.column("word").combine_chunks()
+            of_lang[lang] = (word, own.column("id").to_numpy(), own.column("f").to_numpy())
+        shared = blocks.sparkSession.sparkContext.broadcast(of_lang)
+        return stage(arrow_map(blocks.select("lang", "words", "codes"), _look_up(shared), schema), "numbered-blocks")
     seen = blocks.select("block", "lang", F.posexplode("words").alias("at", "word")).join(words, ["lang", "word"])
     known = seen.groupBy("block").agg(F.collect_list(F.struct("at", "id", "f")).alias("known"))
     rows = blocks.select("block", "lang", F.size("words").alias("n_words"), "codes").join(known, "block").drop("block")
-    return stage(arrow_map(rows, _renumber, "lang string, ids binary, f binary, codes binary"), "numbered-blocks")
+    return stage(arrow_map(rows, _renumber, schema), "numbered-blocks")
 
 
 def _places(parts: list[np.ndarray], bits: int) -> np.ndarray:
@@ -181,9 +212,8 @@ def phrase_filter(phrases: DataFrame, length: int) -> tuple[int, np.ndarray]:
 
 
 def _pack(parts):
-    """Two ids to a key; none is 0."""
-    parts = [*parts, *[np.zeros(len(parts[0]), np.int64)] * (6 - len(parts))]
-    return [parts[i] << 32 | parts[i + 1] for i in (0, 2, 4)]
+    """As many keys as it takes, with two ids each; none is 0."""
+    return [parts[i] << 32 | (parts[i + 1] if i + 1 < len(parts) else 0) for i in range(0, len(parts), 2)]
 
 
 def _windows(shared, length):
@@ -194,8 +224,7 @@ def _windows(shared, length):
         def counted():
             keys = [np.concatenate(k) for k in zip(*pending)]
             if length == 2:
-                k1, n = np.unique(keys[0], return_counts=True)
-                keys = [k1, np.zeros_like(k1), np.zeros_like(k1)]
+                *keys, n = np.unique(keys[0], return_counts=True)
             else:
                 order = np.lexsort(keys)
                 keys = [k[order] for k in keys]
@@ -204,7 +233,7 @@ def _windows(shared, length):
                 begin = np.flatnonzero(new)
                 n = np.diff(np.append(begin, len(order)))
                 keys = [k[begin] for k in keys]
-            return pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(n)], [*_KEYS, "n"])
+            return pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(n)], [*_KEYS[:len(keys)], "n"])
 
         for batch in batches:
             for r in batch.to_pylist():
@@ -234,7 +263,7 @@ def _windows(shared, length):
                         keep &= frequent | (ends > upto[r["lang"]])
                     parts = [p[keep] for p in parts]
                 if len(parts[0]):
-                    pending.append(_pack(parts) if length > 2 else [parts[0] << 32 | parts[1]])
+                    pending.append(_pack(parts))
                     held += len(parts[0])
                 if held > _PENDING:
                     yield counted()
@@ -249,8 +278,10 @@ def _windows(shared, length):
 def count_phrases(blocks: DataFrame, words: DataFrame, length: int, done: dict, upto: dict, known, least: int) -> DataFrame:
     """Phrases of ``length`` words whose rarer end stands over ``done`` and up to ``upto`` times, written; those that stand ``least`` times."""
     shared = blocks.sparkSession.sparkContext.broadcast((done, upto, known))
-    found = arrow_map(blocks, _windows(shared, length), "k1 long, k2 long, k3 long, n long")
-    found = found.groupBy(*_KEYS).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    keys = _KEYS[:(length + 1) // 2]
+    found = arrow_map(blocks, _windows(shared, length), ", ".join(f"{k} long" for k in [*keys, "n"]))
+    found = found.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    found = found.withColumns({k: F.lit(0).cast("long") for k in _KEYS if k not in keys})
     last = F.col(_KEYS[(length - 1) // 2])
     last = F.shiftright(last, 32) if length % 2 else last.bitwiseAND(F.lit(_LOW))
     found = found.withColumn("first_id", F.shiftright("k1", 32)).withColumn("last_id", last)
