@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm.blocks import arrow_map, bounded, plain_text
-from tillmart.llm.plain_ids import PieceEncoder, PlainEncoder, plain_encoder
+from tillmart.llm.plain_ids import PieceEncoder, PlainEncoder, plain_encoder, taken
 from tillmart.workspace import stage
 
 BLOCK_BYTES = 1024 * 1024
@@ -38,45 +38,39 @@ def overlaps(a_text: np.ndarray, a_end: np.ndarray, b_text: np.ndarray, b_end: n
     first text's begin. Links by A token come first, then those by B token that aren't among them.
     """
     a_start, b_start = (np.concatenate([[0], e[:-1]]) if len(e) else e for e in (a_end, b_end))
-    a = pd.DataFrame({"text": a_text, "byte": a_start, "a": np.arange(len(a_end))})
-    b = pd.DataFrame({"text": b_text, "byte": b_start, "b": np.arange(len(b_end))})
-    over = pd.merge_asof(a, b, on="byte", by="text")["b"].to_numpy(np.int64)
-    back = pd.merge_asof(b, a, on="byte", by="text")["a"].to_numpy(np.int64)
+    a, b = (pd.DataFrame({"text": text, "byte": start}, copy=False) for text, start in ((a_text, a_start), (b_text, b_start)))
+    over = pd.merge_asof(a, b.assign(b=np.arange(len(b))), on="byte", by="text")["b"].to_numpy(np.int64)
+    back = pd.merge_asof(b, a.assign(a=np.arange(len(a))), on="byte", by="text")["a"].to_numpy(np.int64)
     new = np.flatnonzero(a_start[back] != b_start)
     of_a, of_b = np.concatenate([np.arange(len(a)), back[new]]), np.concatenate([over, new])
     closing = a_end[of_a] == b_end[of_b]
     return Links(of_a, of_b, np.sort(of_a[closing]), np.sort(of_b[closing]))
 
 
-def _digits(most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, width) decimal digits of all ids from the left, and how many each has."""
-    names = [str(i).encode() for i in range(most)]
-    sizes = np.array([len(n) for n in names])
-    width = int(sizes[-1]) + 1
-    return np.frombuffer(b"".join(n.ljust(width) for n in names), np.uint8).reshape(-1, width), sizes
+def decimals(most: int) -> pa.Array:
+    """All ids as decimal digits with a comma behind them, then all with a bar, then all with a semicolon."""
+    return pa.array([f"{i}{sign}".encode() for sign in ",|;" for i in range(most)], pa.large_binary())
 
 
-def write_groups(a_ids, b_ids, links: Links, digits) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes ``a1,a2|b1;a3|b2,b3;`` of all groups, and where each group ends."""
-    table, sizes = digits
+def write_groups(a_ids, b_ids, links: Links, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes ``a1,a2|b1;a3|b2,b3;`` of all groups, and where each group ends. ``names``: as of ``decimals``."""
     n_a, n_b = np.diff(links.a_last, prepend=-1), np.diff(links.b_last, prepend=-1)
     at_a = np.arange(len(a_ids)) + np.repeat(links.b_last + 1 - n_b, n_a)
     at_b = np.arange(len(b_ids)) + np.repeat(links.a_last + 1, n_b)
-    ids, sign = np.empty(len(at_a) + len(at_b), np.int64), np.full(len(at_a) + len(at_b), ord(","), np.uint8)
+    ids = np.empty(len(at_a) + len(at_b), np.int64)
     ids[at_a], ids[at_b] = a_ids, b_ids
-    sign[at_a[links.a_last]], sign[at_b[links.b_last]] = ord("|"), ord(";")
-    rows, size = table[ids], sizes[ids]
-    rows[np.arange(len(ids)), size] = sign
-    ends = np.cumsum(size + 1)
-    return rows[np.arange(table.shape[1]) <= size[:, None]], ends[at_b[links.b_last]]
+    ids[at_a[links.a_last]] += len(names) // 3
+    ids[at_b[links.b_last]] += 2 * (len(names) // 3)
+    written, ends = taken(names, ids)
+    return written, ends[at_b[links.b_last]]
 
 
-def _rows_of(batch):
-    """(texts, first, last): blocks of a batch; of a very long text a part each."""
+def _rows_of(batch, cuts: bool = True):
+    """(texts, last): the blocks of a batch; of a very long text, if both vocabularies let it be cut, a part each."""
     texts = plain_text(batch.column("text"))
     spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar("", pa.large_string()),
                         pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string())))
-    if len(spaced) > 1 or not len(spaced) or len(raw := spaced[0].as_py().encode()) <= 2 * BLOCK_BYTES:
+    if not cuts or len(spaced) > 1 or not len(spaced) or len(raw := spaced[0].as_py().encode()) <= 2 * BLOCK_BYTES:
         return [(spaced, True)]
     parts, begin = [], 0
     while begin < len(raw):
@@ -90,10 +84,10 @@ def _rows_of(batch):
 def _blocks(byte_bpe, pieces, keep_groups):
     def run(batches):
         a_side, b_side = plain_encoder(PlainEncoder, byte_bpe), plain_encoder(PieceEncoder, pieces)
-        digits = _digits(max(len(a_side.pieces), len(b_side.pieces)))
+        names = decimals(max(len(a_side.pieces), len(b_side.pieces)))
         number = TaskContext.get().partitionId() << 32
         for batch in bounded(batches, "text", BLOCK_BYTES):
-            parts = _rows_of(batch)
+            parts = _rows_of(batch, b_side.cuts)
             if len(parts) > 1 and not all(side.encode_checked(t)[2].all() for t, _ in parts for side in (a_side, b_side)):
                 parts = [(pa.array([""], pa.large_string()), True)]
             digest = hashlib.sha256()
@@ -109,7 +103,7 @@ def _blocks(byte_bpe, pieces, keep_groups):
                 links = overlaps(a_text, a_end, b_text, b_end)
                 code, pairs = pd.factorize(a_ids[links.a].astype(np.int64) << 32 | b_ids[links.b].astype(np.int64))
                 groups = np.concatenate([[0], np.cumsum(np.bincount(a_text[links.a_last], minlength=n))])
-                written, ends = write_groups(a_ids, b_ids, links, digits)
+                written, ends = write_groups(a_ids, b_ids, links, names)
                 edge = np.concatenate([[0], ends])[groups]
                 named, spelled = [], []
                 for i in range(n):

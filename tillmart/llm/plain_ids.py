@@ -1,53 +1,49 @@
-"""Token ids of whole texts by two kinds of vocabulary, and the bytes that each token stands for.
+"""Token ids of texts by two kinds of vocabulary, and the bytes that each token stands for.
 
 Every text is taken with a blank before it. Strings of special tokens inside a text are plain text.
 """
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from tillmart.llm.blocks import text_buffers
-from tillmart.llm.token_ids import _AS_LETTER, MOST_UNITS, Encoder, gather
+from tillmart.llm.token_ids import _AS_LETTER, MOST_UNITS, Encoder
 
 _SPACE = "▁"
 
 
-class _Bytes:
-    """What the bytes of tokens and texts have to do with each other. ``pieces``: the bytes of each id."""
+def taken(strings: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the chosen strings one after the other, and where each ends."""
+    out = strings.take(pa.array(at))
+    ends = np.frombuffer(out.buffers()[1], np.int64, len(out) + 1) if len(out) else np.zeros(1, np.int64)
+    data = out.buffers()[2] if ends[-1] else b""
+    return np.frombuffer(data, np.uint8, int(ends[-1])), ends[1:]
 
-    def _know(self, pieces: list[bytes]):
-        self.pieces = pieces
-        self.sizes = np.array([len(p) for p in pieces], np.int64)
-        self.at = np.cumsum(self.sizes) - self.sizes
-        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
 
-    def forget(self):
-        super().forget()
-        self.differs = False
+class _Spelled:
+    """A vocabulary whose tokens' bytes are known. ``pieces``: of each id."""
 
-    def _add(self, units, ids, lengths):
-        super()._add(units, ids, lengths)
-        at = 0
-        for unit, n in zip(units, lengths):
-            self.differs = self.differs or b"".join(map(self.pieces.__getitem__, ids[at:at + n])) != unit.encode()
-            at += n
+    def _know(self, pieces: list[bytes]):
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
 
     def encode_checked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids, where each text's begin (one more at the end), and whether its tokens' bytes are the text's."""
         ids, before = self.encode(texts)
+        bounds, data = text_buffers(texts)
+        raw, (own, ends) = np.frombuffer(data, np.uint8), taken(self.pieces, ids)
         same = np.ones(len(texts), bool)
-        if self.differs:
-            bounds, data = text_buffers(texts)
-            raw, own = np.frombuffer(data, np.uint8), self.bytes[gather(self.at[ids], self.sizes[ids])]
-            ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])[before]
+        if not np.array_equal(raw, own):
+            ends = np.concatenate([[0], ends])[before]
             for i in range(len(texts)):
                 same[i] = np.array_equal(raw[bounds[i]:bounds[i + 1]], own[ends[i]:ends[i + 1]])
         return ids, before, same
 
 
-class PlainEncoder(_Bytes, Encoder):
+class PlainEncoder(_Spelled, Encoder):
     """A byte-level BPE of the tokenizers library whose special tokens are never taken from a text."""
 
     def __init__(self, path: str, most_units: int = MOST_UNITS):
@@ -60,48 +56,39 @@ class PlainEncoder(_Bytes, Encoder):
         self.added_text = [name.decode() for name in names]
         self.alone = not any(t.lstrip or t.rstrip or t.single_word for t in plain)
         byte = {letter: b for b, letter in enumerate(_AS_LETTER)}
-        size = self.tokenizer.get_vocab_size()
-        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self._know([
             added[i].content.encode() if i in added else bytes(map(byte.__getitem__, token)) for i, token in enumerate(tokens)
         ])
 
 
-class PieceEncoder(_Bytes, Encoder):
+class PieceEncoder(_Spelled):
     """A BPE of the sentencepiece library that puts a blank before a text.
 
-    No piece goes on with a blank after another character, so no merge crosses the place before a
-    blank that follows one: a text is cut there. If a vocabulary has such a piece, texts stay whole.
+    ``cuts``: no piece goes on with a blank after another character, so no merge crosses the place
+    before a blank that follows one, and a text's parts that begin there have the text's ids.
     """
 
-    def __init__(self, path: str, most_units: int = MOST_UNITS):
+    def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.tokenizer, self.most_units = SentencePieceProcessor(model_file=path), most_units
+        self.tokenizer = SentencePieceProcessor(model_file=path)
         ids = range(self.tokenizer.vocab_size())
         names = [self.tokenizer.id_to_piece(i) for i in ids]
         as_byte = [self.tokenizer.is_byte(i) for i in ids]
         self.cuts = not any(re.search(f"[^{_SPACE}]{_SPACE}", n) for n, b in zip(names, as_byte) if not b)
-        self.blank = self.tokenizer.piece_to_id(_SPACE)
-        self.forget()
         self._know([
             bytes([int(n[3:5], 16)]) if b else n.replace(_SPACE, " ").encode() for n, b in zip(names, as_byte)
         ])
 
-    def _cuts(self, raw, bounds, texts):
-        cut = np.zeros(len(raw), bool)
-        if self.cuts:
-            cut[1:] = (raw[1:] == 32) & (raw[:-1] != 32)
-        cut[bounds[:-1][bounds[:-1] < len(raw)]] = True
-        return cut
-
-    def _learn(self, units):
-        """The library adds the blank that each unit begins with, but not to an empty text."""
-        for i in range(0, len(units), 1000):
-            part = units[i:i + 1000]
-            found = self.tokenizer.encode([u[1:] for u in part], num_threads=1)
-            found = [[self.blank] if u == " " else ids for u, ids in zip(part, found)]
-            self._add(part, [i for ids in found for i in ids], [len(ids) for ids in found])
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The library adds the blank that each text begins with."""
+        found = self.tokenizer.encode([text[1:] for text in texts.to_pylist()], num_threads=1)
+        before = np.concatenate([[0], np.cumsum([len(ids) for ids in found], dtype=np.int64)])
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(before[-1])), before
+
+    def forget(self):
+        """Nothing is remembered."""
 
 
 _encoders = {}
