@@ -22,7 +22,7 @@ from tillmart.llm.blocks import arrow_map, bounded, plain_text
 from tillmart.llm.plain_ids import PieceEncoder, PlainEncoder, plain_encoder, taken
 from tillmart.workspace import stage
 
-BLOCK_BYTES = 1024 * 1024
+BLOCK_BYTES = 512 * 1024
 PAIR_TABLE_BYTES = 32 * 1024 * 1024
 # Both vocabularies begin a token at a blank between two letters.
 _BETWEEN_WORDS = re.compile(rb"(?<=[A-Za-z])(?= [A-Za-z])")
