@@ -28,13 +28,24 @@ def sales_team_side(sales_team: DataFrame) -> DataFrame:
     )
 
 
-def dimension_fit(customer, store, sales_team, bounds: JoinBounds = DEFAULT_BOUNDS) -> dict[str, bool]:
-    """Which dimensions are small enough to broadcast, measured on the columns in use."""
-    return fits_broadcast({
-        "customer": customer_side(customer),
-        "store": store_side(store),
-        "sales_team": sales_team_side(sales_team),
-    }, bounds)
+def _lookups(customer: DataFrame, store: DataFrame, sales_team: DataFrame, columns: list[str]) -> list[tuple]:
+    """(name, table, key in the fact, key in the table) of each lookup; a table has its key and those of ``columns`` it gives."""
+    sides = (
+        ("customer", customer_side(customer), "customer_id", "customer_id"),
+        ("store", store_side(store), "store_id", "id"),
+        ("sales_team", sales_team_side(sales_team), "sales_person_id", "id"),
+    )
+    return [
+        (name, side.select(table_key, *[c for c in side.columns if c != table_key and c in columns]), key, table_key)
+        for name, side, key, table_key in sides
+    ]
+
+
+def dimension_fit(
+    customer, store, sales_team, bounds: JoinBounds = DEFAULT_BOUNDS, columns: list[str] = ENRICHED_COLUMNS
+) -> dict[str, bool]:
+    """Which dimensions are small enough to broadcast, measured on the columns in use: their keys and those of ``columns``."""
+    return fits_broadcast({name: side for name, side, _, _ in _lookups(customer, store, sales_team, columns)}, bounds)
 
 
 def enrich_sales(
@@ -45,26 +56,26 @@ def enrich_sales(
     *,
     fit: dict[str, bool] | None = None,
     bounds: JoinBounds = DEFAULT_BOUNDS,
+    columns: list[str] = ENRICHED_COLUMNS,
 ) -> DataFrame:
     """Three inner lookups. A sale with an unknown or NULL key is left out.
 
+    ``columns`` are those wanted of the enriched ones; the rows are the same whichever they are. A
+    table that is needed for its key alone is small for longer.
+
     Pass ``fit`` (see ``dimension_fit``) to reuse a measurement. The customer, the one table
     that can outgrow a broadcast, comes first: its shuffle then carries five columns only.
     Hot keys of all tables that do not fit are counted in one job, on ``fact`` itself; pass a
-    fact that is written.
+    fact that is written. No other column of ``fact`` than the five is shuffled.
     """
-    fit = fit or dimension_fit(customer, store, sales_team, bounds)
-    joined = fact.drop("product_name", "price", "quantity", "additional_column")
-    lookups = [
-        ("customer", customer_side(customer), "customer_id", "customer_id"),
-        ("store", store_side(store), "store_id", "id"),
-        ("sales_team", sales_team_side(sales_team), "sales_person_id", "id"),
-    ]
+    fit = fit or dimension_fit(customer, store, sales_team, bounds, columns)
+    joined = fact.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
+    lookups = _lookups(customer, store, sales_team, columns)
     shuffled = [key for name, _, key, _ in lookups if not fit[name]]
     hot = hot_keys(joined, shuffled) if shuffled else None
     for name, side, key, table_key in lookups:
         joined = lookup_join(joined, side, key, table_key, small=fit[name], hot=hot)
-    return joined.select(*ENRICHED_COLUMNS)
+    return joined.select(*[c for c in ENRICHED_COLUMNS if c in columns])
 
 
 def customer_wide(enriched: DataFrame) -> DataFrame:

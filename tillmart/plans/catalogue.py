@@ -27,10 +27,12 @@ from tillmart.operators import (
     salesperson_month_total,
     salesperson_rank,
 )
+from tillmart.operators.enrich import dimension_fit
 from tillmart.operators.marts import salesperson_incentives, salesperson_totals, store_months_fit
 from tillmart.plans import deliveries, retail_tables
 from tillmart.plans.daily import DailyConfig, open_batch, run
 from tillmart.plans.months import rebuild_months, touched_months
+from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, ENRICHED_COLUMNS, SALES_WIDE_COLUMNS
 from tillmart.sinks import JdbcSink, snapshot_path, write_parquet
 from tillmart.sources import JdbcSource, file_inventory, read_drops, validate_headers
 from tillmart.sources.drops import COUNTS
@@ -57,8 +59,22 @@ def _dimensions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [make(spark, sf_dir) for make in (retail_tables.customer, retail_tables.store, retail_tables.sales_team)]
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_sales(retail_tables.fact(spark, sf_dir), *_dimensions(spark, sf_dir))
+def _enriched(spark: SparkSession, sf_dir: str, columns: list[str] = ENRICHED_COLUMNS, fact: DataFrame | None = None) -> DataFrame:
+    """Sales with those ``columns``. Sales that will be counted by key as well as joined are written first."""
+    dimensions = _dimensions(spark, sf_dir)
+    fit = dimension_fit(*dimensions, columns=columns)
+    fact = retail_tables.fact(spark, sf_dir) if fact is None else fact
+    if not all(fit.values()):
+        fact = stage(fact, "sales")
+    return enrich_sales(fact, *dimensions, fit=fit, columns=columns)
+
+
+def _customer_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_wide(_enriched(spark, sf_dir, CUSTOMER_WIDE_COLUMNS))
+
+
+def _sales_wide(spark: SparkSession, sf_dir: str, fact: DataFrame | None = None) -> DataFrame:
+    return sales_wide(_enriched(spark, sf_dir, SALES_WIDE_COLUMNS, fact))
 
 
 def _folded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,35 +101,36 @@ def sales_without_dimension(spark, sf_dir):
 
 
 def customer_wide_mart(spark, sf_dir):
-    return _plain(customer_wide(_enriched(spark, sf_dir)))
+    return _plain(_customer_wide(spark, sf_dir))
 
 
 def sales_wide_mart(spark, sf_dir):
-    return _plain(sales_wide(_enriched(spark, sf_dir)))
+    return _plain(_sales_wide(spark, sf_dir))
 
 
 def customer_month(spark, sf_dir):
-    return _plain(customer_month_mart(customer_wide(_enriched(spark, sf_dir))))
+    return _plain(customer_month_mart(_customer_wide(spark, sf_dir)))
 
 
 def month_total(spark, sf_dir):
-    return _plain(salesperson_month_total(sales_wide(_enriched(spark, sf_dir))))
+    return _plain(salesperson_month_total(_sales_wide(spark, sf_dir)))
 
 
 def month_rank(spark, sf_dir):
-    return _plain(salesperson_rank(salesperson_month_total(sales_wide(_enriched(spark, sf_dir)))))
+    return _plain(salesperson_rank(salesperson_month_total(_sales_wide(spark, sf_dir))))
 
 
 def month_rank_ties(spark, sf_dir):
     """Ranks of totals of quantities, of which many are equal; one store has none but NULLs."""
     quantity = F.when(F.col("store_id") != 3, F.col("quantity").cast("decimal(18,2)"))
     sales = retail_tables.sales(spark, sf_dir).withColumn("total_cost", quantity)
-    totals = salesperson_month_total(sales_wide(enrich_sales(sales, *_dimensions(spark, sf_dir))))
+    sales = sales.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
+    totals = salesperson_month_total(_sales_wide(spark, sf_dir, sales))
     return _plain(salesperson_rank(totals))
 
 
 def salesperson_month(spark, sf_dir):
-    totals = stage(salesperson_totals(sales_wide(_enriched(spark, sf_dir))), "totals")
+    totals = stage(salesperson_totals(_sales_wide(spark, sf_dir)), "totals")
     return _plain(salesperson_incentives(totals, small_maxima=store_months_fit(totals)))
 
 
@@ -201,7 +218,7 @@ def pending_files_query(spark, sf_dir):
 
 def partitioned_mart_roundtrip(spark, sf_dir):
     folder = new_folder(spark, "sales-partitioned")
-    write_parquet(sales_wide(_enriched(spark, sf_dir)), folder, ["sales_month", "store_id"])
+    write_parquet(_sales_wide(spark, sf_dir), folder, ["sales_month", "store_id"])
     back = spark.read.parquet(folder)
     return _plain(back.groupBy("sales_month", "store_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("total_cost").alias("total_sales")
@@ -211,13 +228,13 @@ def partitioned_mart_roundtrip(spark, sf_dir):
 def partition_pruning(spark, sf_dir):
     """One month and one store of the partitioned mart; only their directory is read."""
     folder = new_folder(spark, "sales-partitioned")
-    write_parquet(sales_wide(_enriched(spark, sf_dir)), folder, ["sales_month", "store_id"])
+    write_parquet(_sales_wide(spark, sf_dir), folder, ["sales_month", "store_id"])
     return _plain(spark.read.parquet(folder).where("sales_month >= '1995-03' and sales_month < '1995-06' and store_id between 5 and 12"))
 
 
 def snapshot_roundtrip(spark, sf_dir):
     folder = snapshot_path(new_folder(spark, "customer-snapshot"), NOW)
-    write_parquet(customer_wide(_enriched(spark, sf_dir)), folder)
+    write_parquet(_customer_wide(spark, sf_dir), folder)
     return _plain(spark.read.parquet(folder))
 
 
