@@ -1,13 +1,16 @@
 """What moves between tasks when tables outgrow a broadcast."""
 
+from decimal import Decimal
+
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from tillmart.operators import JoinBounds, customer_wide, enrich_sales, sales_wide
+from tillmart.operators import JoinBounds, customer_month_mart, customer_wide, enrich_sales, sales_wide
 from tillmart.operators.enrich import dimension_fit
 from tillmart.plans import catalogue
 from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, SALES_WIDE_COLUMNS
+from tillmart.workspace import together
 
 
 def plan_of(df):
@@ -65,3 +68,34 @@ def test_sales_are_joined_once_when_a_table_is_shuffled(spark, order_tables, mon
     # What is counted by key and then joined is the written sales.
     assert "lineitem.parquet" not in plan_of(totals)
     assert tuples(totals) == expected
+
+
+def test_rebuilt_months_are_those_of_all_sales(spark, order_tables, monkeypatch):
+    staged = []
+    stage = catalogue.stage
+    monkeypatch.setattr(catalogue, "stage", lambda df, label, *args: staged.append(df.columns) or stage(df, label, *args))
+    assert tuples(catalogue.rebuilt_customer_months(spark, order_tables), *(columns := catalogue.customer_month(spark, order_tables).columns)) == tuples(
+        catalogue.customer_month(spark, order_tables), *columns)
+    # No table of all columns is written first.
+    assert max(len(columns) for columns in staged) == 5
+
+
+def test_months_over_batches_need_two_shuffles(spark, make_fact, customer, store, sales_team):
+    wide = customer_wide(enrich_sales(make_fact(rows()), customer, store, sales_team))
+    versions = wide.unionByName(wide.replace("Ash", "Oak", "last_name")).unionByName(
+        wide.where("customer_id = 2").withColumn("first_name", F.lit("Rob")))
+    mart = customer_month_mart(versions, one_snapshot=False)
+    assert plan_of(mart).count("Exchange hashpartitioning") == 2
+    total = {1: Decimal(0), 2: Decimal(0), 3: Decimal(0)}
+    for r in versions.collect():
+        total[r["customer_id"]] += r["total_cost"]
+    # Both versions of the second customer have no full name, so they are one row.
+    assert tuples(mart, "customer_id", "full_name", "total_sales") == sorted([
+        (1, "Ann Ash", total[1]), (1, "Ann Oak", total[1]), (2, None, total[2]), (3, "Cid Cox", total[3]),
+    ], key=repr)
+
+
+def test_works_done_together_give_their_results_and_errors(spark):
+    assert together(spark, lambda: 1, lambda: 2) == [1, 2]
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda: 1, lambda: 1 / 0)
