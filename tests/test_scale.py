@@ -99,3 +99,18 @@ def test_works_done_together_give_their_results_and_errors(spark):
     assert together(spark, lambda: 1, lambda: 2) == [1, 2]
     with pytest.raises(ZeroDivisionError):
         together(spark, lambda: 1, lambda: 1 / 0)
+
+
+def test_only_joins_with_hot_keys_are_salted(make_fact, customer, store, sales_team):
+    # Customers 1 to 20 and none equally often, of whom three are known; two in three sales are one person's.
+    many = [((i % 21) or None, [121, 122][i % 2], "2023-01-05", 1 if i % 3 else 2, f"{i}.00") for i in range(210)]
+    fact, whole = make_fact(many), {"customer": True, "store": True, "sales_team": True}
+    expected = tuples(enrich_sales(fact, customer, store, sales_team, fit=whole))
+    assert len(expected) == 30
+    cold = enrich_sales(fact, customer, store, sales_team, fit={**whole, "customer": False})
+    assert "SortMergeJoin" in plan_of(cold) and "__salt" not in plan_of(cold)
+    assert tuples(cold) == expected
+    mixed = enrich_sales(fact, customer, store, sales_team, fit={**whole, "customer": False, "sales_team": False})
+    plan = plan_of(mixed)
+    assert plan.count("SortMergeJoin") == 2 and "__salt" in plan
+    assert tuples(mixed) == expected

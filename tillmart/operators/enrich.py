@@ -66,15 +66,18 @@ def enrich_sales(
     Pass ``fit`` (see ``dimension_fit``) to reuse a measurement. The customer, the one table
     that can outgrow a broadcast, comes first: its shuffle then carries five columns only.
     Hot keys of all tables that do not fit are counted in one job, on ``fact`` itself; pass a
-    fact that is written. No other column of ``fact`` than the five is shuffled.
+    fact that is written. A join without hot keys is not salted. No other column of ``fact`` than
+    the five is shuffled.
     """
     fit = fit or dimension_fit(customer, store, sales_team, bounds, columns)
     joined = fact.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
     lookups = _lookups(customer, store, sales_team, columns)
     shuffled = [key for name, _, key, _ in lookups if not fit[name]]
     hot = hot_keys(joined, shuffled) if shuffled else None
+    # Fewer rows than shuffle partitions a column, see hot_keys.
+    salted = {r["column"] for r in hot.select("column").collect()} if shuffled else set()
     for name, side, key, table_key in lookups:
-        joined = lookup_join(joined, side, key, table_key, small=fit[name], hot=hot)
+        joined = lookup_join(joined, side, key, table_key, small=fit[name], hot=hot if key in salted else None)
     return joined.select(*[c for c in ENRICHED_COLUMNS if c in columns])
 
 

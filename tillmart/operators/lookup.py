@@ -52,12 +52,15 @@ def _shuffle_width(df: DataFrame) -> int:
 def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Values of ``keys`` that hold more than a shuffle partition's worth of rows: column, key, copies.
 
-    One job counts all the columns together, with partial sums before its shuffle, and writes the
-    result. A column has fewer such values than there are shuffle partitions.
+    One job counts all the columns together, each in its own type, with partial sums before its
+    shuffle, and writes the result. A column has fewer such values than there are shuffle partitions.
     """
     width = _shuffle_width(fact)
-    cells = F.array(*[F.struct(F.lit(k).alias("column"), F.col(k).cast("string").alias("key")) for k in keys])
-    counts = fact.select(F.explode(cells).alias("c")).groupBy("c.column", "c.key").agg(F.count(F.lit(1)).alias("n"))
+    column = F.coalesce(*[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys])
+    key = F.coalesce(*[F.col(k).cast("string") for k in keys])
+    counts = fact.groupingSets([[F.col(k)] for k in keys], *keys).agg(
+        column.alias("column"), key.alias("key"), F.count(F.lit(1)).alias("n")
+    ).select("column", "key", "n")
     counts = stage(counts, "key-counts")
     rows = counts.groupBy("column").agg(F.sum("n").alias("rows"))
     hot = counts.where("key is not null").join(F.broadcast(rows), "column").where(F.col("n") * width > F.col("rows"))
@@ -74,6 +77,7 @@ def lookup_join(
     Spark thinks of the table's size, and rows of the ``hot`` values (see ``hot_keys``) are spread
     over several partitions. The table holds every copy of such a value, so any salt is right; it
     is a hash of the row and of the partition it was read in, for equal rows not to stay together.
+    Without ``hot`` there is no salt, and rows are sorted by the key alone.
     """
     table = table.withColumnRenamed(table_key, key)
     if small:

@@ -243,10 +243,12 @@ def _late_batches(spark, sf_dir):
     """Marts of months built after a first batch, and again after one with the late sales of half the months."""
     folder = new_folder(spark, "late-batches")
     # Each sale is joined once per wide mart, with the columns of that mart only.
-    fact = stage(retail_tables.fact(spark, sf_dir), "sales")
     dimensions = _dimensions(spark, sf_dir)
     customers_dir, sales_dir = f"{folder}/customers-wide", f"{folder}/sales-wide"
-    customers_fit, sales_fit = (dimension_fit(*dimensions, columns=c) for c in (CUSTOMER_WIDE_COLUMNS, SALES_WIDE_COLUMNS))
+    fact, customers_fit, sales_fit = together(
+        spark, lambda: stage(retail_tables.fact(spark, sf_dir), "sales"),
+        *[partial(dimension_fit, *dimensions, columns=c) for c in (CUSTOMER_WIDE_COLUMNS, SALES_WIDE_COLUMNS)],
+    )
 
     def write_customers(batch, now):
         wide = customer_wide(enrich_sales(batch, *dimensions, fit=customers_fit, columns=CUSTOMER_WIDE_COLUMNS))
