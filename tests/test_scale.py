@@ -6,8 +6,9 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
-from tillmart.operators import JoinBounds, customer_month_mart, customer_wide, enrich_sales, sales_wide
+from tillmart.operators import JoinBounds, customer_month_mart, customer_wide, enrich_sales, rows_without_dimension, sales_wide
 from tillmart.operators.enrich import dimension_fit
+from tillmart.operators.lookup import PACKED
 from tillmart.plans import catalogue
 from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, SALES_WIDE_COLUMNS
 from tillmart.workspace import together
@@ -114,3 +115,40 @@ def test_only_joins_with_hot_keys_are_salted(make_fact, customer, store, sales_t
     plan = plan_of(mixed)
     assert plan.count("SortMergeJoin") == 2 and "__salt" in plan
     assert tuples(mixed) == expected
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_keys_too_large_as_rows_are_looked_up_64_to_a_row(spark, make_fact, customer, store, sales_team, kind):
+    # Keys in 6 words of 64, some of them negative, without every seventh, and a NULL.
+    ids = spark.range(-130, 130).where("id % 7 <> 0").select(F.col("id").cast(kind).alias("customer_id"))
+    customers = customer.drop("customer_id").limit(1).crossJoin(ids.unionByName(ids.limit(1).select(F.lit(None).cast(kind).alias("customer_id"))))
+    customers = customers.select(*customer.columns)
+    bounds, whole = JoinBounds(6 * 32), {"customer": True, "store": True, "sales_team": True}
+    fit = dimension_fit(customers, store, sales_team, bounds, SALES_WIDE_COLUMNS)
+    assert fit["customer"] == PACKED
+    assert dimension_fit(customers, store, sales_team, JoinBounds(6 * 32 - 1), SALES_WIDE_COLUMNS)["customer"] is False
+    assert dimension_fit(customers, store, sales_team, bounds)["customer"] is False
+    fact = make_fact([(i if i != 5 else None, 121, "2023-01-05", 1, f"{i}.00") for i in [*range(-200, 200), 1, 1, 2**31 - 1, -2**31]])
+    packed, columns = {**whole, "customer": PACKED}, SALES_WIDE_COLUMNS
+    joined = enrich_sales(fact, customers, store, sales_team, fit=packed, columns=columns)
+    expected = enrich_sales(fact, customers, store, sales_team, fit=whole, columns=columns)
+    assert joined.schema == expected.schema and "SortMergeJoin" not in plan_of(joined)
+    assert tuples(joined) == tuples(expected) and len(tuples(joined)) > 200
+    # Keys that are no whole numbers, and columns beside the key, are joined as before.
+    halves = fact.withColumn("customer_id", F.col("customer_id").cast("decimal(12,1)") / 2)
+    for sales, wanted in ((halves, columns), (fact.withColumn("customer_id", F.col("customer_id").cast("string")), columns), (fact, CUSTOMER_WIDE_COLUMNS)):
+        joined = enrich_sales(sales, customers, store, sales_team, fit=packed, columns=wanted)
+        assert tuples(joined) == tuples(enrich_sales(sales, customers, store, sales_team, fit=whole, columns=wanted))
+    assert tuples(rows_without_dimension(fact, customers, store, sales_team, fit=packed)) == tuples(
+        rows_without_dimension(fact, customers, store, sales_team, fit=whole))
+
+
+def test_keys_that_repeat_are_not_packed(make_fact, customer, store, sales_team):
+    customers = customer.select(*customer.columns).unionByName(customer.where("customer_id = 1"))
+    # 4 rows of 24 bytes, one word of 32.
+    bounds = JoinBounds(32)
+    assert dimension_fit(customer, store, sales_team, bounds, SALES_WIDE_COLUMNS)["customer"] == PACKED
+    fit = dimension_fit(customers, store, sales_team, bounds, SALES_WIDE_COLUMNS)
+    assert fit["customer"] is False
+    joined = enrich_sales(make_fact(rows()), customers, store, sales_team, fit=fit, columns=SALES_WIDE_COLUMNS)
+    assert tuples(joined) == tuples(enrich_sales(make_fact(rows()), customers, store, sales_team, columns=SALES_WIDE_COLUMNS))

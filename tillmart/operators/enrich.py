@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions import month_of
-from tillmart.operators.lookup import DEFAULT_BOUNDS, JoinBounds, fits_broadcast, hot_keys, lookup_join
+from tillmart.operators.lookup import DEFAULT_BOUNDS, PACKED, JoinBounds, fits_broadcast, fits_packed, hot_keys, lookup_join, whole_numbers
 from tillmart.schemas import CUSTOMER_WIDE_COLUMNS, ENRICHED_COLUMNS, SALES_WIDE_COLUMNS
 
 
@@ -43,9 +43,14 @@ def _lookups(customer: DataFrame, store: DataFrame, sales_team: DataFrame, colum
 
 def dimension_fit(
     customer, store, sales_team, bounds: JoinBounds = DEFAULT_BOUNDS, columns: list[str] = ENRICHED_COLUMNS
-) -> dict[str, bool]:
-    """Which dimensions are small enough to broadcast, measured on the columns in use: their keys and those of ``columns``."""
-    return fits_broadcast({name: side for name, side, _, _ in _lookups(customer, store, sales_team, columns)}, bounds)
+) -> dict[str, bool | str]:
+    """Which dimensions are small enough to broadcast, measured on the columns in use: their keys and those of ``columns``.
+
+    One that is needed for its key alone and too large as rows may still be small with 64 keys to a row: ``PACKED``.
+    """
+    sides = {name: side for name, side, _, _ in _lookups(customer, store, sales_team, columns)}
+    fit = fits_broadcast(sides, bounds)
+    return {name: fits or (fits_packed(sides[name], bounds) and PACKED) for name, fits in fit.items()}
 
 
 def enrich_sales(
@@ -54,7 +59,7 @@ def enrich_sales(
     store: DataFrame,
     sales_team: DataFrame,
     *,
-    fit: dict[str, bool] | None = None,
+    fit: dict[str, bool | str] | None = None,
     bounds: JoinBounds = DEFAULT_BOUNDS,
     columns: list[str] = ENRICHED_COLUMNS,
 ) -> DataFrame:
@@ -72,12 +77,17 @@ def enrich_sales(
     fit = fit or dimension_fit(customer, store, sales_team, bounds, columns)
     joined = fact.select("customer_id", "store_id", "sales_date", "sales_person_id", "total_cost")
     lookups = _lookups(customer, store, sales_team, columns)
-    shuffled = [key for name, _, key, _ in lookups if not fit[name]]
+    # Packed keys are looked up by whole numbers only, and give no column.
+    small = {
+        name: fit[name] if fit[name] != PACKED else whole_numbers(joined, key) and len(side.columns) == 1 and PACKED
+        for name, side, key, _ in lookups
+    }
+    shuffled = [key for name, _, key, _ in lookups if not small[name]]
     hot = hot_keys(joined, shuffled) if shuffled else None
     # Fewer rows than shuffle partitions a column, see hot_keys.
     salted = {r["column"] for r in hot.select("column").collect()} if shuffled else set()
     for name, side, key, table_key in lookups:
-        joined = lookup_join(joined, side, key, table_key, small=fit[name], hot=hot if key in salted else None)
+        joined = lookup_join(joined, side, key, table_key, small=small[name], hot=hot if key in salted else None)
     return joined.select(*[c for c in ENRICHED_COLUMNS if c in columns])
 
 
@@ -95,7 +105,7 @@ def rows_without_dimension(
     store: DataFrame,
     sales_team: DataFrame,
     *,
-    fit: dict[str, bool] | None = None,
+    fit: dict[str, bool | str] | None = None,
     bounds: JoinBounds = DEFAULT_BOUNDS,
 ) -> DataFrame:
     """Sales the inner lookups leave out, one row per dimension: dimension, rows_lost.
@@ -112,7 +122,7 @@ def rows_without_dimension(
     ):
         sold = fact.select(F.col(key).alias("key"))
         known = table.select(F.col(table_key).alias("key"))
-        if fit[name]:
+        if fit[name] is True:
             unknown = sold.join(F.broadcast(known), "key", "left_anti").select(F.lit(1).alias("n"))
         else:
             per_key = sold.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
@@ -125,20 +135,20 @@ def rows_without_dimension(
 
 def fact_report(
     fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame,
-    *, fit: dict[str, bool], counts: list[str],
+    *, fit: dict[str, bool | str], counts: list[str],
 ) -> dict:
     """Rows, sums of ``counts`` and lost rows by dimension, in one pass for all that fit a broadcast."""
     keys = (("customer", "customer_id", customer, "customer_id"), ("store", "store_id", store, "id"), ("sales_team", "sales_person_id", sales_team, "id"))
     rows, totals = fact, [F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]]
     for name, key, table, table_key in keys:
-        if fit[name]:
+        if fit[name] is True:
             known = table.select(F.col(table_key).alias(key)).distinct().withColumn(f"__{name}", F.lit(True))
             rows = rows.join(F.broadcast(known), key, "left")
             totals.append(F.count_if(F.col(f"__{name}").isNull()).alias(f"lost_{name}"))
     seen = rows.agg(*totals).first().asDict()
-    lost = {name: seen.pop(f"lost_{name}") for name, *_ in keys if fit[name]}
+    lost = {name: seen.pop(f"lost_{name}") for name, *_ in keys if fit[name] is True}
     for name, key, table, table_key in keys:
-        if not fit[name]:
+        if fit[name] is not True:
             per_key = fact.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
             unknown = per_key.join(table.select(F.col(table_key).alias("key")), "key", "left_anti")
             lost[name] = unknown.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

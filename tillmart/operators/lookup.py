@@ -45,6 +45,43 @@ def fits_broadcast(tables: dict[str, DataFrame], bounds: JoinBounds = DEFAULT_BO
     return {row["name"]: row["bytes"] <= bounds.broadcast_bytes for row in sizes.collect()}
 
 
+#: A table of nothing but keys that is too large as rows, but small with 64 keys to a row.
+PACKED = "packed"
+# A row header and two numbers, as above.
+_WORD_BYTES = 16 + 8 + 8
+
+
+def whole_numbers(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def key_words(table: DataFrame, key: str) -> DataFrame:
+    """64 neighbouring keys to a row: ``__word``, their number without its last six bits, ``__keys``, a
+    bit for each of them that the table holds, and ``__rows``. NULLs are left out."""
+    known = table.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").cast("bigint").alias("__key"))
+    return known.groupBy(F.shiftright("__key", 6).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(__key & 63))")).alias("__keys"), F.count(F.lit(1)).alias("__rows"),
+    )
+
+
+def fits_packed(table: DataFrame, bounds: JoinBounds = DEFAULT_BOUNDS) -> bool:
+    """Whether ``table`` is one column of whole numbers, none of them twice, whose words are small enough to broadcast."""
+    if len(table.columns) != 1 or not whole_numbers(table, *table.columns):
+        return False
+    seen = key_words(table, *table.columns).agg(
+        F.count(F.lit(1)).alias("words"), F.sum("__rows").alias("rows"), F.sum(F.bit_count("__keys")).alias("keys")
+    ).first()
+    return seen["rows"] == seen["keys"] and seen["words"] * _WORD_BYTES <= bounds.broadcast_bytes
+
+
+def _packed_join(fact: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    words = key_words(table, key).select("__word", "__keys")
+    number = F.col(f"`{key}`").cast("bigint")
+    found = fact.withColumn("__word", F.shiftright(number, 6)).join(F.broadcast(words), "__word")
+    found = found.where(F.getbit("__keys", number.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return found.select(key, *[c for c in fact.columns if c != key])
+
+
 def _shuffle_width(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -69,17 +106,20 @@ def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def lookup_join(
-    fact: DataFrame, table: DataFrame, key: str, table_key: str, *, small: bool, hot: DataFrame | None = None
+    fact: DataFrame, table: DataFrame, key: str, table_key: str, *, small: bool | str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Inner join ``fact.key = table.table_key``; the table's key column is dropped.
 
-    ``small`` is the outcome of ``fits_broadcast``. Otherwise both sides are shuffled, whatever
+    ``small`` is the outcome of ``fits_broadcast``, or ``PACKED`` for a table that ``fits_packed`` and a
+    fact whose key is a whole number too. Otherwise both sides are shuffled, whatever
     Spark thinks of the table's size, and rows of the ``hot`` values (see ``hot_keys``) are spread
     over several partitions. The table holds every copy of such a value, so any salt is right; it
     is a hash of the row and of the partition it was read in, for equal rows not to stay together.
     Without ``hot`` there is no salt, and rows are sorted by the key alone.
     """
     table = table.withColumnRenamed(table_key, key)
+    if small == PACKED:
+        return _packed_join(fact, table, key)
     if small:
         return fact.join(F.broadcast(table), key)
     if hot is None:
